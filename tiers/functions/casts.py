@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -46,26 +48,31 @@ def typed_projection(df: DataFrame, spec: EntitySpec) -> DataFrame:
     return df.select(*[typed(F.col(c.name), schema[c.name]).alias(c.name) for c in kept])
 
 
-def validate(df: DataFrame, schema: T.StructType) -> DataFrame:
+def _converted(df: DataFrame, field: T.StructField) -> Column:
+    source = F.col(field.name)
+    if isinstance(df.schema[field.name].dataType, T.StringType):
+        return typed(source, field.dataType)
+    return source.try_cast(field.dataType)
+
+
+def validate(df: DataFrame, schema: T.StructType, keep: Sequence[str] = ()) -> DataFrame:
     """Type every column and say how it went, in one projection.
 
     A number, date or timestamp field becomes the typed value, ``<name>_valid`` (false for NULL too) and,
-    when it arrived as text, ``<name>_raw`` with the original. Other fields are converted as they are.
+    when it arrived as text, ``<name>_raw`` with the original. Other fields are converted as they are, and
+    the columns to keep pass through.
     """
-    arrived = {f.name: f.dataType for f in df.schema}
     columns = []
     for field in schema:
-        text = isinstance(arrived[field.name], T.StringType)
-        source = F.col(field.name)
-        value = typed(source, field.dataType) if text else source.try_cast(field.dataType)
+        value = _converted(df, field)
         columns.append(value.alias(field.name))
         if isinstance(field.dataType, FLAGGED_TYPES):
             columns.append(value.isNotNull().alias(f"{field.name}_valid"))
-            if text:
-                columns.append(source.alias(f"{field.name}_raw"))
-    return df.select(*columns)
+            if isinstance(df.schema[field.name].dataType, T.StringType):
+                columns.append(F.col(field.name).alias(f"{field.name}_raw"))
+    return df.select(*columns, *keep)
 
 
 def align(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Exactly the fields of the schema, in its order and types."""
-    return df.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema])
+    return df.select(*[_converted(df, f).alias(f.name) for f in schema])

@@ -21,9 +21,14 @@ def normalize_names(df: DataFrame) -> DataFrame:
     return df.toDF(*names)
 
 
-def rename_feed(df: DataFrame, spec: EntitySpec) -> DataFrame:
-    """Pick the raw columns of a feed and give them their canonical names."""
-    return df.select(*[F.col(f"`{c.raw}`").alias(c.name) for c in spec.in_feed_order])
+def rename_feed(df: DataFrame, spec: EntitySpec, *extra: str | Column) -> DataFrame:
+    """Pick the raw columns of a feed, give them their canonical names and pass extra columns through."""
+    return df.select(*[F.col(f"`{c.raw}`").alias(c.name) for c in spec.in_feed_order], *extra)
+
+
+def raw_feed(bronze: DataFrame, spec: EntitySpec) -> DataFrame:
+    """The inverse: bronze rows under the headers, and in the order, of the delivered file."""
+    return bronze.select(*[F.col(c.name).alias(c.raw) for c in spec.in_feed_order])
 
 
 def identifier(text: Column) -> Column:
