@@ -29,6 +29,7 @@ def local_session(cores: str = "*", name: str = "tiers", **settings: str) -> Spa
         .appName(name)
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
     )
     for key, value in {**SETTINGS, **settings}.items():
