@@ -4,22 +4,49 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Texts that can be read as a floating point number: decimal, hexadecimal, NaN or infinite. Checked first,
+# because a failed conversion costs some twenty times as much as the pattern.
+_NUMBER = (
+    r"^[\s\p{Cntrl}]*+[+-]?(?:(?:\d++(?:\.\d*+)?|\.\d++)(?:[eE][+-]?\d++)?[dDfF]?[\s\p{Cntrl}]*+$"
+    r"|0[xX]|[nN][aA][nN]|[iI][nN][fF])"
+)
+FIGURES = ("filled", "missing", "mean", "stddev", "text_min", "text_max", "number_min", "number_max")
 
-def _number(field: T.StructField) -> Column | None:
-    if isinstance(field.dataType, (T.StringType, T.NumericType)):
-        return F.col(field.name).try_cast("double")
-    return None
 
+def _name(column: str) -> str:
+    return "`" + column.replace("`", "``") + "`"
 
-def missing(field: T.StructField) -> Column:
+
+def _literal(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _is_text(field: T.StructField) -> bool:
+    return isinstance(field.dataType, T.StringType)
+
+
+def _with_numbers(df: DataFrame) -> DataFrame:
+    """Next to each column its value as a number (``number_<position>``), worked out once per row."""
+    numbers = []
+    for i, field in enumerate(df.schema):
+        column = _name(field.name)
+        if _is_text(field):
+            value = f"CASE WHEN {column} RLIKE {_literal(_NUMBER)} THEN try_cast({column} AS double) END"
+        elif isinstance(field.dataType, T.NumericType):
+            value = f"CAST({column} AS double)"
+        else:
+            value = "CAST(NULL AS double)"
+        numbers.append(f"{value} AS number_{i}")
+    return df.selectExpr("*", *numbers)
+
+
+def _missing(position: int, field: T.StructField) -> str:
     """NULL, or not a number written as one ('NaN' counts as missing in a text column too)."""
-    empty = F.col(field.name).isNull()
-    number = _number(field)
-    return empty if number is None else empty | F.coalesce(F.isnan(number), F.lit(False))
+    return f"count_if({_name(field.name)} IS NULL OR isnan(number_{position}))"
 
 
 def row_count(df: DataFrame) -> DataFrame:
@@ -28,8 +55,8 @@ def row_count(df: DataFrame) -> DataFrame:
 
 def missing_counts(df: DataFrame) -> DataFrame:
     """One row holding the row count and, under each column's name, its missing values."""
-    counts = [F.count_if(missing(f)).alias(f.name) for f in df.schema]
-    return df.agg(F.count(F.lit(1)).alias("row_count"), *counts)
+    counts = [f"{_missing(i, field)} AS {_name(field.name)}" for i, field in enumerate(df.schema)]
+    return _with_numbers(df).selectExpr("count(1) AS row_count", *counts)
 
 
 def profile(df: DataFrame) -> DataFrame:
@@ -38,41 +65,26 @@ def profile(df: DataFrame) -> DataFrame:
     Text extremes are alphabetical ('190' sorts before '36'), hence the second pair. All figures of all
     columns come from a single aggregate, so the table is scanned once and no rows are shuffled.
     """
-    figures, rows = [], []
+    aggregates, rows = ["count(1) AS row_count"], []
     for i, field in enumerate(df.schema):
-        column, number = F.col(field.name), _number(field)
-        text = column if isinstance(field.dataType, T.StringType) else None
-        nothing = F.lit(None)
-        figures += [
-            F.count(column).alias(f"filled_{i}"),
-            F.count_if(missing(field)).alias(f"missing_{i}"),
-            (nothing.cast("string") if text is None else F.min(text)).alias(f"text_min_{i}"),
-            (nothing.cast("string") if text is None else F.max(text)).alias(f"text_max_{i}"),
-        ]
-        for name, statistic in (("mean", F.avg), ("stddev", F.stddev), ("number_min", F.min), ("number_max", F.max)):
-            value = nothing.cast("double") if number is None else statistic(number)
-            figures.append(value.alias(f"{name}_{i}"))
-        rows.append(
-            F.struct(
-                F.lit(field.name).alias("column_name"),
-                F.lit(field.dataType.simpleString()).alias("data_type"),
-                F.col("row_count"),
-                *[
-                    F.col(f"{name}_{i}").alias(name)
-                    for name in (
-                        "filled",
-                        "missing",
-                        "mean",
-                        "stddev",
-                        "text_min",
-                        "text_max",
-                        "number_min",
-                        "number_max",
-                    )
-                ],
-            )
+        column, number = _name(field.name), f"number_{i}"
+        text = column if _is_text(field) else "CAST(NULL AS string)"
+        formulas = {
+            "filled": f"count({column})",
+            "missing": _missing(i, field),
+            "mean": f"avg({number})",
+            "stddev": f"stddev({number})",
+            "text_min": f"min({text})",
+            "text_max": f"max({text})",
+            "number_min": f"min({number})",
+            "number_max": f"max({number})",
+        }
+        aggregates += [f"{formulas[figure]} AS {figure}_{i}" for figure in FIGURES]
+        heading = (
+            f"{_literal(field.name)} AS column_name, {_literal(field.dataType.simpleString())} AS data_type, row_count"
         )
-    return df.agg(F.count(F.lit(1)).alias("row_count"), *figures).select(F.inline(F.array(*rows)))
+        rows.append(f"struct({heading}, {', '.join(f'{figure}_{i} AS {figure}' for figure in FIGURES)})")
+    return _with_numbers(df).selectExpr(*aggregates).selectExpr(f"inline(array({', '.join(rows)}))")
 
 
 def full_row_duplicates(df: DataFrame) -> DataFrame:

@@ -312,7 +312,7 @@ def report_of_feeds() -> str:
         source, (key,) = f"bz_{name}", spec.primary_key
         for c in spec.feed_order:
             for figure, value in (
-                ("data_type", "'string'"),
+                ("data_type", "min('string')"),
                 ("filled", f"cast(count({c}) as varchar)"),
                 ("missing", f"cast(count(*) filter (where {is_missing(c)}) as varchar)"),
                 ("text_min", f"min({c})"),

@@ -31,6 +31,7 @@ def local_session(cores: str = "*", name: str = "tiers", **settings: str) -> Spa
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in {**SETTINGS, **settings}.items():
         builder = builder.config(key, value)

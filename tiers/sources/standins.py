@@ -8,14 +8,22 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tiers.specs import LOAD_TIMESTAMP, RAW_FILE_NAME
 
 FIRST_LOAD = "2024-01-01 00:00:00"
 
 
+_schemas: dict[str, T.StructType] = {}
+
+
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    """A sample table; its schema is looked up in the file once per process."""
+    path = f"{folder}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def _text(column: Column) -> Column:
