@@ -1,0 +1,133 @@
+import uuid
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from tiers.sinks.export import TEXT_FORMAT, export_path, export_text
+from tiers.sinks.tables import (
+    add_missing_columns,
+    append_rejects,
+    ensure_schema,
+    ensure_table,
+    recover,
+    replace_by_key,
+    upsert,
+)
+from tiers.specs import SPECS
+
+
+@pytest.fixture
+def schema(spark, tmp_path):
+    name = f"t_{uuid.uuid4().hex[:8]}"
+    ensure_schema(spark, name, str(tmp_path / name))
+    return name
+
+
+def rows(df):
+    return Counter(tuple(r) for r in df.collect())
+
+
+def frame(spark, data):
+    return spark.createDataFrame(data, "k int, v string")
+
+
+@pytest.mark.parametrize("buckets", [None, 3])
+def test_upsert_replaces_known_keys_and_adds_new_ones(spark, schema, buckets):
+    table = f"{schema}.t"
+    upsert(spark, table, frame(spark, [(1, "a"), (2, "b"), (3, "c")]), ["k"], buckets)
+    upsert(spark, table, frame(spark, [(2, "B"), (4, "d")]), ["k"], buckets)
+    assert rows(spark.table(table)) == {(1, "a"): 1, (2, "B"): 1, (3, "c"): 1, (4, "d"): 1}
+    upsert(spark, table, frame(spark, [(2, "B"), (4, "d")]), ["k"], buckets)
+    assert spark.table(table).count() == 4
+    assert [t.name for t in spark.catalog.listTables(schema)] == ["t"]
+
+
+def test_upsert_refuses_repeated_keys_and_keeps_the_table(spark, schema):
+    table = f"{schema}.t"
+    upsert(spark, table, frame(spark, [(1, "a")]), ["k"])
+    with pytest.raises(ValueError, match="several rows for one key"):
+        upsert(spark, table, frame(spark, [(1, "x"), (1, "y")]), ["k"])
+    assert rows(spark.table(table)) == {(1, "a"): 1}
+    assert [t.name for t in spark.catalog.listTables(schema)] == ["t"]
+
+
+def test_composite_key(spark, schema):
+    table, columns = f"{schema}.t", "k int, j string, v int"
+    upsert(spark, table, spark.createDataFrame([(1, "a", 1), (1, "b", 2)], columns), ["k", "j"])
+    upsert(spark, table, spark.createDataFrame([(1, "b", 9), (2, "b", 3)], columns), ["k", "j"])
+    assert rows(spark.table(table)) == {(1, "a", 1): 1, (1, "b", 9): 1, (2, "b", 3): 1}
+
+
+def test_bucketed_target_is_not_moved(spark, schema):
+    table = f"{schema}.t"
+    upsert(spark, table, frame(spark, [(i, "a") for i in range(100)]), ["k"], 4)
+    source = frame(spark, [(1, "b")]).repartition(4, "k")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = spark.table(table).join(source, "k", "left_anti")
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    target = plan[plan.index("SortMergeJoin") : plan.index("FileScan")]
+    assert "Exchange" not in target and "Bucketed: true" in plan
+
+
+def test_replace_by_key_swaps_all_rows_of_a_key(spark, schema):
+    table = f"{schema}.t"
+    replace_by_key(spark, table, frame(spark, [(1, "a"), (1, "b"), (2, "c"), (None, "d")]), ["k"])
+    replace_by_key(spark, table, frame(spark, [(1, "x"), (1, "x"), (None, "y"), (3, "z")]), ["k"])
+    assert rows(spark.table(table)) == {(1, "x"): 2, (2, "c"): 1, (None, "y"): 1, (3, "z"): 1}
+
+
+def test_recovery_after_an_interrupted_swap(spark, schema):
+    table = f"{schema}.t"
+    upsert(spark, table, frame(spark, [(1, "a")]), ["k"])
+    frame(spark, [(1, "b")]).write.saveAsTable(f"{table}__fresh_1234")
+    spark.sql(f"ALTER TABLE {table} RENAME TO {table}__old")
+    recover(spark, table)
+    assert rows(spark.table(table)) == {(1, "a"): 1}
+    assert [t.name for t in spark.catalog.listTables(schema)] == ["t"]
+
+
+def test_rejects_are_logged_once(spark, schema):
+    table = f"{schema}.rejects"
+    first = spark.createDataFrame([("i1", "a"), ("i1", "a"), ("i2", "b")], "reject_id string, v string")
+    second = spark.createDataFrame([("i2", "b"), ("i3", "c"), ("i3", "c")], "reject_id string, v string")
+    for batch in (first, first, second, second):
+        append_rejects(spark, table, batch)
+    assert rows(spark.table(table)) == {("i1", "a"): 2, ("i2", "b"): 1, ("i3", "c"): 2}
+
+
+@pytest.mark.parametrize("name", list(SPECS))
+def test_tables_from_specs(spark, schema, name):
+    spec = SPECS[name]
+    for layer, kind in (("bronze", spec.bronze_schema), ("silver", spec.silver_schema)):
+        assert ensure_table(spark, f"{schema}.{name}_{layer}", kind)
+        assert not ensure_table(spark, f"{schema}.{name}_{layer}", kind)
+        assert spark.table(f"{schema}.{name}_{layer}").schema == kind
+
+
+def test_widening_a_table(spark, schema):
+    table = f"{schema}.t"
+    frame(spark, [(1, "a")]).write.saveAsTable(table)
+    wider = spark.createDataFrame([(2, "b", "n")], "k int, v string, w string")
+    assert add_missing_columns(spark, table, wider.schema) == ["w"]
+    assert add_missing_columns(spark, table, wider.schema) == []
+    wider.write.insertInto(table)
+    assert rows(spark.table(table)) == {(1, "a", None): 1, (2, "b", "n"): 1}
+
+
+def test_export(spark, tmp_path):
+    from datetime import date
+
+    path = export_path(str(tmp_path) + "/", 3, date(2024, 3, 1))
+    assert path == f"{tmp_path}/target_3_2024-03-01.csv"
+    df = spark.createDataFrame([(1, "plain"), (2, "a|b"), (3, 'say "x"'), (4, "Jalapeño"), (5, None)], "k int, v string")
+    for _ in range(2):
+        export_text(df.coalesce(1), path)
+    (file,) = (tmp_path / "target_3_2024-03-01.csv").glob("*.csv")
+    content = file.read_bytes()
+    assert content.splitlines() == [b"k|v", b"1|plain", b'2|"a|b"', b'3|"say \\"x\\""', b"4|Jalape?o", b"5|"]
+    back = spark.read.options(**TEXT_FORMAT).csv(path).orderBy("k")
+    assert [r["v"] for r in back.collect()] == ["plain", "a|b", 'say "x"', "Jalape?o", None]

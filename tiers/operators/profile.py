@@ -87,10 +87,18 @@ def profile(df: DataFrame) -> DataFrame:
     return _with_numbers(df).selectExpr(*aggregates).selectExpr(f"inline(array({', '.join(rows)}))")
 
 
+def _copies(df: DataFrame) -> DataFrame:
+    """Rows and repeated rows; copies are counted within each task first, so few of them travel."""
+    copies = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("copies"))
+    return copies.agg(
+        F.coalesce(F.sum("copies"), F.lit(0)).alias("row_count"),
+        F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).alias("duplicate_rows"),
+    )
+
+
 def full_row_duplicates(df: DataFrame) -> DataFrame:
     """How many rows repeat another row in every column."""
-    copies = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("copies"))
-    return copies.agg(F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).alias("duplicate_rows"))
+    return _copies(df).select("duplicate_rows")
 
 
 def key_duplicates(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -100,28 +108,14 @@ def key_duplicates(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def profile_report(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The whole profile as (column_name, figure, value) rows, ready to be stored or compared over time."""
-    columns = profile(df).select(
-        "column_name",
-        F.inline(
-            F.array(
-                *[
-                    F.struct(F.lit(name).alias("figure"), F.col(name).cast("string").alias("value"))
-                    for name in ("data_type", "filled", "missing", "text_min", "text_max")
-                ]
-            )
-        ),
-    )
-    whole = [
-        (row_count(df), "row_count"),
-        (full_row_duplicates(df), "duplicate_rows"),
-        (key_duplicates(df, keys).agg(F.count(F.lit(1)).alias("n")), "duplicate_keys"),
-    ]
-    for frame, figure in whole:
-        columns = columns.unionByName(
-            frame.select(
-                F.lit("*").alias("column_name"),
-                F.lit(figure).alias("figure"),
-                F.col(frame.columns[0]).cast("string").alias("value"),
-            )
-        )
-    return columns
+    figures = ("data_type", "filled", "missing", "text_min", "text_max")
+    columns = profile(df).selectExpr("column_name", _as_rows(figures))
+    copies = _copies(df).selectExpr("'*' AS column_name", _as_rows(("row_count", "duplicate_rows")))
+    repeated = key_duplicates(df, keys).selectExpr("count(1) AS duplicate_keys")
+    keyed = repeated.selectExpr("'*' AS column_name", _as_rows(("duplicate_keys",)))
+    return columns.unionByName(copies).unionByName(keyed)
+
+
+def _as_rows(figures: Sequence[str]) -> str:
+    pairs = ", ".join(f"struct('{name}' AS figure, CAST({name} AS string) AS value)" for name in figures)
+    return f"inline(array({pairs}))"

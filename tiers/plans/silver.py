@@ -50,5 +50,6 @@ def silver_refresh(
         bronze = bronze.filter(F.col(LOAD_TIMESTAMP) > F.lit(since).cast("timestamp"))
     stamp = load_time(now)
     clean = clean_rows(bronze, spec).withColumn(UPDATED_AT, stamp)
-    upsert(spark, silver_table, clean, spec.merge_key, buckets)
+    deduplicated = set(spec.primary_key) <= set(spec.merge_key)
+    upsert(spark, silver_table, clean, spec.merge_key, buckets, known_unique=deduplicated)
     append_rejects(spark, reject_table, rejected_rows(bronze, spec).withColumn(UPDATED_AT, stamp))

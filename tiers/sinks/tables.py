@@ -77,15 +77,19 @@ def _merge(
     source: DataFrame,
     keys: Sequence[str],
     buckets: int | None,
-    check_unique: bool,
-    null_safe: bool,
+    unique: bool,
+    check: bool,
 ) -> None:
+    """Write the source as the successor, add the old rows it does not replace, and swap.
+
+    With ``unique`` keys NULL matches nothing, otherwise it is a key like any other.
+    """
     recover(spark, table)
     fresh, old = f"{table}__fresh_{uuid.uuid4().hex[:8]}", f"{table}__old"
     exists = spark.catalog.tableExists(table)
     # The source is computed once, straight into the successor; everything below reads it from there.
     create_from(source, fresh, keys, buckets)
-    if check_unique:
+    if check:
         try:
             refuse_repeated_keys(spark.table(fresh), keys)
         except ValueError:
@@ -96,10 +100,10 @@ def _merge(
         return
     target = spark.table(table)
     arrived = spark.table(fresh).select(*[F.col(k).alias(f"_new_{k}") for k in keys])
-    if not check_unique:
+    if not unique:
         arrived = arrived.distinct()
     pairs = [(F.col(k), F.col(f"_new_{k}")) for k in keys]
-    match = reduce(and_, [a.eqNullSafe(b) if null_safe else a == b for a, b in pairs])
+    match = reduce(and_, [a == b if unique else a.eqNullSafe(b) for a, b in pairs])
     kept = target.join(arrived, match, "left_anti")
     kept.select(*spark.table(fresh).columns).write.insertInto(fresh)
     spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
@@ -108,19 +112,24 @@ def _merge(
 
 
 def upsert(
-    spark: SparkSession, table: str, source: DataFrame, keys: Sequence[str], buckets: int | None = None
+    spark: SparkSession,
+    table: str,
+    source: DataFrame,
+    keys: Sequence[str],
+    buckets: int | None = None,
+    known_unique: bool = False,
 ) -> None:
     """Rows with a known key replace the old row, others are added; the first call creates the table.
 
-    Refuses a source with several rows for one key, leaving the table as it was. NULL keys match nothing,
-    so such rows are added each time.
+    Refuses a source with several rows for one key, leaving the table as it was; a source deduplicated by
+    the same key can skip the check. NULL keys match nothing, so such rows are added each time.
     """
-    _merge(spark, table, source, keys, buckets, check_unique=True, null_safe=False)
+    _merge(spark, table, source, keys, buckets, unique=True, check=not known_unique)
 
 
 def replace_by_key(spark: SparkSession, table: str, source: DataFrame, keys: Sequence[str]) -> None:
     """All old rows of the keys in the source go, all rows of the source come: for keys with many rows."""
-    _merge(spark, table, source, keys, None, check_unique=False, null_safe=True)
+    _merge(spark, table, source, keys, None, unique=False, check=False)
 
 
 def append_rejects(spark: SparkSession, table: str, rows: DataFrame) -> None:
