@@ -89,7 +89,7 @@ def profile(df: DataFrame) -> DataFrame:
 
 def _copies(df: DataFrame) -> DataFrame:
     """Rows and repeated rows; copies are counted within each task first, so few of them travel."""
-    copies = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("copies"))
+    copies = df.groupBy(*[_name(c) for c in df.columns]).agg(F.count(F.lit(1)).alias("copies"))
     return copies.agg(
         F.coalesce(F.sum("copies"), F.lit(0)).alias("row_count"),
         F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).alias("duplicate_rows"),
@@ -103,7 +103,7 @@ def full_row_duplicates(df: DataFrame) -> DataFrame:
 
 def key_duplicates(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys held by more than one row, and by how many; NULL counts as a key."""
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("row_count")).filter(F.col("row_count") > 1)
+    return df.groupBy(*[_name(k) for k in keys]).agg(F.count(F.lit(1)).alias("row_count")).filter(F.col("row_count") > 1)
 
 
 def profile_report(df: DataFrame, keys: Sequence[str]) -> DataFrame:
