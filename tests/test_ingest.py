@@ -76,12 +76,16 @@ def test_continuous_stream(spark, schema, feed, tmp_path):
     assert ids(spark.table(f"{schema}.live")) == {"a": 1, "b": 1}
 
 
-def test_feed_without_spec_grows_with_its_header(spark, schema, feed, tmp_path):
+@pytest.mark.parametrize("infer_types,kind", [(False, "string"), (True, "int")])
+def test_feed_without_spec(spark, schema, feed, tmp_path, infer_types, kind):
     table, checkpoints = f"{schema}.found", str(tmp_path / "c")
-    folder = feed("1.csv", "Con ID,Sex", "a,F")
-    ingest_as_found(spark, "found", folder, table, checkpoints)
-    assert spark.table(table).columns == ["con_id", "sex", "raw_file_name", "load_timestamp"]
-    assert [tuple(r)[:2] for r in spark.table(table).collect()] == [("a", "F")]
+    folder = feed("1.csv", "Con ID,Sex", "7,F")
+    ingest_as_found(spark, "found", folder, table, checkpoints, infer_types=infer_types)
+    assert spark.table(table).dtypes[:2] == [("con_id", kind), ("sex", "string")]
+    feed("2.csv", "Con ID,Sex", "8.5,M")  # by itself no whole number, but the column keeps its type
+    ingest_as_found(spark, "found", folder, table, checkpoints, infer_types=infer_types)
+    ids = {str(r[0]) for r in spark.table(table).collect()}
+    assert ids == ({"7", "None"} if infer_types else {"7", "8.5"})
 
 
 def test_batch_reader_is_strict_about_headers(spark, feed):

@@ -43,7 +43,8 @@ def purchase_view(
     )
     bought = required_ok(typed_projection(purchase, PURCHASE), PURCHASE_KEY).select(*PURCHASE_KEY)
     rows = spread_join(bought, buyers, ["consumerid"], **spread)
-    rows = spread_join(rows, treatments, PURCHASE_KEY, **spread)
+    # Looking for hot keys needs no deduplicated rows.
+    rows = spread_join(rows, treatments, PURCHASE_KEY, probes=[typed_projection(fertilizer, FERTILIZER)], **spread)
     rows = spread_join(rows, fruits, PURCHASE_KEY, **spread)
     return rows.select(
         "consumerid",

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
 from tiers.plans.gold import gold_refresh
@@ -32,18 +35,15 @@ def run(
     bronze, silver, gold = (f"{prefix}{layer}" for layer in LAYERS)
     for schema in (bronze, silver, gold):
         ensure_schema(spark, schema, f"{location}/{schema}" if location else None)
-    for name, folder in folders.items():
-        ingest(spark, SPECS[name], folder, f"{bronze}.{name}", checkpoint_root, now)
-    for name in folders:
-        silver_refresh(
-            spark,
-            SPECS[name],
-            f"{bronze}.{name}",
-            f"{silver}.{name}",
-            f"{silver}.{name}_rejects",
-            now,
-            since,
-            buckets,
-        )
+
+    def refresh(name: str) -> None:
+        raw, clean = f"{bronze}.{name}", f"{silver}.{name}"
+        ingest(spark, SPECS[name], folders[name], raw, checkpoint_root, now)
+        silver_refresh(spark, SPECS[name], raw, clean, f"{clean}_rejects", now, since, buckets)
+
+    # The feeds do not depend on each other, so their jobs share the cluster.
+    with ThreadPoolExecutor(len(folders)) as pool:
+        for _ in pool.map(inheritable_thread_target(spark)(refresh), folders):
+            pass
     gold_refresh(spark, {name: f"{silver}.{name}" for name in SPECS}, f"{gold}.output", now, consumer_id_type)
     return f"{gold}.output"

@@ -27,14 +27,21 @@ def stream_files(
     return reader.csv(folder)
 
 
-def inferred_schema(spark: SparkSession, folder: str) -> T.StructType:
-    """Column names of the files present now, all text, for feeds without a spec."""
-    names = spark.read.option("header", True).csv(folder).columns
-    return T.StructType([T.StructField(name, T.StringType()) for name in names])
+def found_schema(spark: SparkSession, folder: str, table: str, infer_types: bool = False) -> T.StructType:
+    """Columns under the names in the header, for feeds without a spec.
+
+    All text, or with inferred types, which takes a pass over the files. A column the table already has
+    keeps the type it got there, so that a later run cannot read it differently.
+    """
+    found = spark.read.option("header", True).option("inferSchema", infer_types).csv(folder).schema
+    known = {}
+    if spark.catalog.tableExists(table):
+        known = {f.name: f.dataType for f in spark.table(table).schema}
+    return T.StructType([T.StructField(f.name, known.get(normal_name(f.name), f.dataType)) for f in found])
 
 
 def write_stream(rows: DataFrame, table: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
-    """Append to a table: everything there is and then stop, or continuously at an interval."""
+    """Append to a table: everything there is (returning when done), or continuously at an interval."""
     trigger = {"processingTime": every} if every else {"availableNow": True}
     writer = rows.writeStream.option("checkpointLocation", checkpoint).trigger(**trigger)
     query = writer.toTable(table)
@@ -77,9 +84,10 @@ def ingest_as_found(
     checkpoint_root: str,
     now=None,
     every: str | None = None,
+    infer_types: bool = False,
 ) -> StreamingQuery:
     """A feed without a spec: all its columns as found, under normalized names."""
-    schema = inferred_schema(spark, folder)
+    schema = found_schema(spark, folder, table, infer_types)
     columns = [F.col(f"`{c}`").alias(normal_name(c)) for c in schema.names]
     rows = stream_files(spark, folder, schema).select(*columns, *_audit(now))
     if not ensure_table(spark, table, rows.schema):
