@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tiers.functions.names import identifier, normalize_names, raw_feed, rename_feed
 from tiers.sinks.tables import ensure_schema
 from tiers.sources.csv import read_drops, read_feed, scan_text, with_metadata
-from tiers.sources.workdir import new_folder, work_root, written
+from tiers.sources.workdir import new_folder, work_root
 from tiers.specs import AVOCADO, CONSUMER, PURCHASE
 from tiers.streaming.ingest import ingest, ingest_as_found, write_stream, stream_files
 
@@ -145,5 +145,3 @@ def test_work_folder_is_the_one_of_the_session(spark):
     assert work_root(spark) == root
     assert new_folder(spark, "x").startswith(f"{root}/x-")
     assert new_folder(spark, "x") != new_folder(spark, "x")
-    df = spark.createDataFrame([(1, None)], "a int, b string")
-    assert written(df, "w").schema == df.schema and written(df, "w").collect() == df.collect()

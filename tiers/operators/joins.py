@@ -5,9 +5,11 @@ side nor any side of a full join. ``spread_join`` covers those two:
 
 * rows with a NULL key match nothing, so in a full join they are dealt out over all tasks by an extra join
   column instead of meeting in one;
-* both sides are sketched in one column-pruned scan without a shuffle; keys above the share are counted
-  exactly and joined as a grid (each side dealt over its own number of shards, and repeated over the other
-  side's), while all remaining keys take the plain join. No hot key: the plan is the plain join.
+* the sides are sketched in one column-pruned scan without a shuffle. A key above the share is laid out as
+  a grid: each side is dealt over its own number of shards and repeated over those of the other, so every
+  pair of rows meets in exactly one cell. Such a key is known to be on both sides, hence a row of it that
+  met nothing in its cell is only a repetition, and is dropped. All other keys have one cell. Each side
+  runs once, in a single join; without a hot key it is the plain join.
 """
 
 from __future__ import annotations
@@ -21,8 +23,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tiers.sources.workdir import written
-
 NULL_SPREAD = 4096  # upper bound of tasks the NULL-key rows of one side are dealt over
 SKETCH_ITEMS = 10000  # counters held by the sketch; it can only overlook keys far below SHARE
 MAX_HOT_KEYS = 100
@@ -45,9 +45,13 @@ def _key_hash(keys: Sequence[str]) -> Column:
     return F.xxhash64(*keys)
 
 
-def _dealt(df: DataFrame, shards: Column) -> Column:
-    """Shard number of a row: the same on a task retry, yet different for copies from different tasks."""
-    return F.pmod(F.xxhash64(F.spark_partition_id(), *df.columns), shards)
+def _dealt(df: DataFrame) -> Column:
+    """Number to deal a row by: the same on a task retry, yet different for copies from different tasks."""
+    return F.xxhash64(F.spark_partition_id(), *df.columns)
+
+
+def _unknown(keys: Sequence[str]) -> Column:
+    return reduce(or_, [F.col(k).isNull() for k in keys])
 
 
 def frequent_hashes(df: DataFrame, keys: Sequence[str], share: float) -> list[int]:
@@ -57,17 +61,14 @@ def frequent_hashes(df: DataFrame, keys: Sequence[str], share: float) -> list[in
         F.expr(f"approx_top_k(key_hash, {MAX_HOT_KEYS}, {SKETCH_ITEMS})").alias("top"),
         F.count(F.lit(1)).alias("row_count"),
     ).first()
+    # Estimates may vary with the order of arrival; they decide how rows are laid out, never which rows result.
     return [item["item"] for item in sketch["top"] or [] if item["count"] > share * sketch["row_count"]]
 
 
-def key_counts(left: DataFrame, right: DataFrame, keys: Sequence[str], hashes: Sequence[int]) -> list[tuple]:
-    """Exact row counts of the keys with these hashes: ``(*key, rows on the left, rows on the right)``."""
-    counts = {}
-    for side, df in enumerate((left, right)):
-        hot = df.dropna(subset=list(keys)).filter(_key_hash(keys).isin(list(hashes)))
-        for row in hot.groupBy(*keys).agg(F.count(F.lit(1))).collect():
-            counts.setdefault(tuple(row)[:-1], [0, 0])[side] = row[-1]
-    return [(*key, *n) for key, n in counts.items()]
+def key_counts(df: DataFrame, keys: Sequence[str], hashes: Sequence[int]) -> dict[tuple, int]:
+    """Exact row counts of the keys with these hashes."""
+    hot = df.dropna(subset=list(keys)).filter(_key_hash(keys).isin(list(hashes)))
+    return {tuple(row)[:-1]: row[-1] for row in hot.groupBy(*keys).agg(F.count(F.lit(1))).collect()}
 
 
 def plain_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
@@ -76,61 +77,47 @@ def plain_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str)
         return left.join(right, list(keys), how)
 
     def spread(df: DataFrame) -> DataFrame:
-        unknown = reduce(or_, [F.col(k).isNull() for k in keys])
-        return df.withColumn("_spread", F.when(unknown, _dealt(df, F.lit(NULL_SPREAD))).otherwise(F.lit(0)))
+        cell = F.when(_unknown(keys), F.pmod(_dealt(df), F.lit(NULL_SPREAD))).otherwise(F.lit(0))
+        return df.withColumn("_cell", cell)
 
-    return spread(left).join(spread(right), [*keys, "_spread"], "full").drop("_spread")
+    return spread(left).join(spread(right), [*keys, "_cell"], "full").drop("_cell")
 
 
-def _grid_join(left: DataFrame, right: DataFrame, keys: Sequence[str], hot: DataFrame) -> DataFrame:
-    grid = F.broadcast(hot)
+def grid_join(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], how: str, hot: dict[tuple, tuple[int, int]]
+) -> DataFrame:
+    """Join with the hot keys laid out as grids; ``hot`` holds the numbers of shards of either side.
+
+    No shards on one side mean that the key does not occur there: its rows are dealt out but not repeated.
+    """
+    fields = [T.StructField(k, left.schema[k].dataType) for k in keys]
+    fields += [T.StructField(f"_shards_{side}", T.IntegerType()) for side in ("left", "right")]
+    grid = F.broadcast(left.sparkSession.createDataFrame([(*k, *n) for k, n in hot.items()], T.StructType(fields)))
 
     def lay_out(df: DataFrame, own: str, other: str) -> DataFrame:
-        columns = [F.col(c) for c in df.columns]
-        dealt = df.withColumn("_dealt", F.xxhash64(F.spark_partition_id(), *df.columns)).join(grid, list(keys))
-        return dealt.select(
-            *columns,
-            F.pmod("_dealt", F.col(own)).cast("int").alias(f"_{own}"),
-            F.explode(F.sequence(F.lit(0), F.col(other) - 1)).alias(f"_{other}"),
+        known = df.withColumn("_dealt", _dealt(df)).join(grid, list(keys), "left")
+        shards, repeats = F.col(f"_shards_{own}"), F.col(f"_shards_{other}")
+        dealt = F.when(shards > 0, F.pmod("_dealt", shards)).otherwise(F.lit(0))
+        if how == "full":
+            dealt = F.when(_unknown(keys), F.pmod("_dealt", F.lit(NULL_SPREAD))).otherwise(dealt)
+        return known.select(
+            *df.columns,
+            F.coalesce((shards > 0) & (repeats > 0), F.lit(False)).alias(f"_hot_{own}"),
+            dealt.cast("int").alias(f"_cell_{own}"),
+            F.explode(F.sequence(F.lit(0), F.greatest(repeats, F.lit(1)) - 1)).alias(f"_cell_{other}"),
         )
 
-    cells = ["_left_shards", "_right_shards"]
-    laid_left = lay_out(left, "left_shards", "right_shards")
-    laid_right = lay_out(right, "right_shards", "left_shards")
-    return laid_left.join(laid_right, [*keys, *cells], "inner").drop(*cells)
+    joined = lay_out(left, "left", "right").join(
+        lay_out(right, "right", "left"), [*keys, "_cell_left", "_cell_right"], how
+    )
+    on_left, on_right = F.col("_hot_left"), F.col("_hot_right")
+    repetition = (on_left & on_right.isNull()) | (on_right & on_left.isNull())
+    helpers = ["_cell_left", "_cell_right", "_hot_left", "_hot_right"]
+    return joined.filter(~F.coalesce(repetition, F.lit(False))).drop(*helpers)
 
 
-def split_join(
-    left: DataFrame, right: DataFrame, keys: Sequence[str], how: str, hot: list[tuple], rows_per_shard: int
-) -> DataFrame:
-    """Join with the given hot keys laid out as grids and everything else joined plainly."""
-    spark = left.sparkSession
-
-    def shards(rows: int) -> int:
-        return max(1, min(MAX_SHARDS, math.ceil(rows / rows_per_shard)))
-
-    key_fields = [T.StructField(k, left.schema[k].dataType) for k in keys]
-    grid = spark.createDataFrame(
-        [(*key, shards(n_left), shards(n_right)) for *key, n_left, n_right in hot if n_left and n_right],
-        T.StructType(
-            [*key_fields, T.StructField("left_shards", T.IntegerType()), T.StructField("right_shards", T.IntegerType())]
-        ),
-    )
-    one_sided = {
-        side: spark.createDataFrame([tuple(key) for *key, a, b in hot if not (b, a)[side]], T.StructType(key_fields))
-        for side in (0, 1)
-    }
-    everything = F.broadcast(spark.createDataFrame([tuple(row[:-2]) for row in hot], T.StructType(key_fields)))
-    cold_left = left.join(everything, list(keys), "left_anti")
-    cold_right = right.join(everything, list(keys), "left_anti")
-    result = plain_join(cold_left, cold_right, keys, how)
-    result = result.unionByName(_grid_join(left, right, keys, grid).select(*result.columns))
-    unmatched = [left.join(F.broadcast(one_sided[0]), list(keys), "left_semi")]
-    if how == "full":
-        unmatched.append(right.join(F.broadcast(one_sided[1]), list(keys), "left_semi"))
-    for rows in unmatched:
-        result = result.unionByName(rows, allowMissingColumns=True)
-    return result.select(*result.columns)
+def _shards(rows: int, rows_per_shard: int) -> int:
+    return min(MAX_SHARDS, math.ceil(rows / rows_per_shard))
 
 
 def spread_join(
@@ -157,8 +144,13 @@ def spread_join(
             probes = [right] if how == "left" else [left, right]
         hashes = sorted({h for df in probes for h in frequent_hashes(df, keys, share)})
         if hashes:
-            # Several branches read each side, so both are computed once and kept.
-            left, right = written(left, "join-left"), written(right, "join-right")
-            hot = key_counts(left, right, keys, hashes)
-            return split_join(left, right, keys, how, hot, rows_per_shard)
+            on_right = key_counts(right, keys, hashes)
+            # A left join needs no grid for keys lacking on the right, and its left side is split anyway.
+            on_left = key_counts(left, keys, hashes) if how == "full" else dict.fromkeys(on_right, 1)
+            hot = {
+                key: tuple(_shards(side.get(key, 0), rows_per_shard) for side in (on_left, on_right))
+                for key in on_left | on_right
+            }
+            if hot:
+                return grid_join(left, right, keys, how, hot)
     return plain_join(left, right, keys, how)
