@@ -15,7 +15,11 @@ def spark():
     session = local_session(
         "4",
         "tests",
-        **{"spark.checkpoint.dir": f"{root}/shared", "spark.sql.warehouse.dir": f"{root}/warehouse"},
+        **{
+            "spark.checkpoint.dir": f"{root}/shared",
+            "spark.sql.warehouse.dir": f"{root}/warehouse",
+            "spark.sql.shuffle.partitions": "3",
+        },
     )
     yield session
     session.stop()

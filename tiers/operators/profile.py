@@ -11,9 +11,10 @@ from pyspark.sql import types as T
 # Texts that can be read as a floating point number: decimal, hexadecimal, NaN or infinite. Checked first,
 # because a failed conversion costs some twenty times as much as the pattern.
 _NUMBER = (
-    r"^[\s\p{Cntrl}]*+[+-]?(?:(?:\d++(?:\.\d*+)?|\.\d++)(?:[eE][+-]?\d++)?[dDfF]?[\s\p{Cntrl}]*+$"
+    r"^[\x00-\x20]*+[+-]?(?:(?:[0-9]++(?:\.[0-9]*+)?|\.[0-9]++)(?:[eE][+-]?[0-9]++)?[dDfF]?[\x00-\x20]*+$"
     r"|0[xX]|[nN][aA][nN]|[iI][nN][fF])"
 )
+_PLAIN_NUMBER = "^[+-]?[0-9]+$"
 FIGURES = ("filled", "missing", "mean", "stddev", "text_min", "text_max", "number_min", "number_max")
 
 
@@ -35,7 +36,10 @@ def _with_numbers(df: DataFrame) -> DataFrame:
     for i, field in enumerate(df.schema):
         column = _name(field.name)
         if _is_text(field):
-            value = f"CASE WHEN {column} RLIKE {_literal(_NUMBER)} THEN try_cast({column} AS double) END"
+            value = (
+                f"CASE WHEN {column} RLIKE {_literal(_PLAIN_NUMBER)} THEN try_cast({column} AS double) "
+                f"WHEN {column} RLIKE {_literal(_NUMBER)} THEN try_cast({column} AS double) END"
+            )
         elif isinstance(field.dataType, T.NumericType):
             value = f"CAST({column} AS double)"
         else:
