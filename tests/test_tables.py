@@ -2,7 +2,6 @@ import uuid
 from collections import Counter
 
 import pytest
-from pyspark.sql import functions as F
 
 from tiers.sinks.export import TEXT_FORMAT, export_path, export_text
 from tiers.sinks.tables import (
