@@ -161,8 +161,8 @@ WITH turns AS (
 )
 SELECT conv_id, count(*) AS n_turns,
   sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY start)) AS turns_sha256,
-  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS loss_chars,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
   sha256(coalesce(string_agg(text, '' ORDER BY start) FILTER (role = 'assistant'), '')) AS loss_sha256,
-  sum(chars + CASE WHEN begins THEN h_chars + CASE WHEN s_start < h_start THEN s_chars ELSE 0 END ELSE 0 END) AS formatted_chars
+  CAST(sum(chars + CASE WHEN begins THEN h_chars + CASE WHEN s_start < h_start THEN s_chars ELSE 0 END ELSE 0 END) AS BIGINT) AS formatted_chars
 FROM cut GROUP BY conv_id
 """

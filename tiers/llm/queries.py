@@ -111,8 +111,9 @@ WITH bits AS (
   SELECT *, min(page_id) OVER (PARTITION BY hex) AS first FROM bits
 )
 SELECT page_id, payload_bytes,
-  list_aggregate(list_transform(range(0, 32), i -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
-    (((('0x' || substr(hex, (i // 4) * 5 + 1, 5))::BIGINT >> (15 - 5 * (i % 4))) & 31) + 1)::BIGINT, 1)), 'string_agg', '') AS payload_digest,
+  (SELECT string_agg(substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+     ((('0x' || substr(hex, (i // 4) * 5 + 1, 5))::BIGINT >> (15 - 5 * (i % 4))::BIGINT) & 31) + 1, 1), '' ORDER BY i)
+   FROM range(0, 32) t(i)) AS payload_digest,
   CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
   CASE WHEN page_id <> first THEN first END AS refers_to
 FROM digits
