@@ -18,13 +18,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from tiers.llm.common import keep, raw, slices
 
-#: The fitted sample: documents a language (those with the least hash of their id), and bytes of each.
-DOCS_PER_LANG, BYTES_PER_DOC = 1000, 10_000
-#: Languages that can be learned, those with the most documents in the sample; bytes of the table of costs.
+#: The fitted sample: documents a language, give or take chance, and characters of each.
+DOCS_PER_LANG, CHARS_PER_DOC = 1000, 10_000
+#: Languages that can be learned, those with the most documents; bytes of the table of costs.
 MAX_LANGS, TABLE_BYTES = 128, 64 << 20
 #: Bytes with a column of their own; all rarer ones share the last column, as bytes that were never seen.
 MAX_SYMBOLS = 159
@@ -71,11 +70,14 @@ class Model:
 
 
 def learnable(docs: DataFrame, bucket: Column) -> DataFrame:
-    """`lang`, `text` of the sample: rows with both, and `bucket` true."""
-    rows = docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & bucket).select("doc_id", "lang", "text")
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text"))
-    chosen = rows.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= DOCS_PER_LANG)
-    return chosen.select("lang", F.expr(f"left(text, {BYTES_PER_DOC})").alias("text"))
+    """`lang`, `text` of the sample: rows with both, and `bucket` true; of each language about DOCS_PER_LANG, drawn by hash."""
+    rows = docs.where(F.col("lang").isNotNull() & bucket)
+    most = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGS)
+    range_ = 1 << 30
+    share = F.ceil(F.lit(DOCS_PER_LANG) * range_ / F.col("n"))
+    drawn = rows.join(F.broadcast(most.select("lang", share.alias("share"))), "lang")
+    drawn = drawn.where(F.pmod(F.xxhash64("doc_id"), F.lit(range_)) < F.col("share")).where(F.col("text").isNotNull())
+    return drawn.select("lang", F.expr(f"left(text, {CHARS_PER_DOC})").alias("text"))
 
 
 def count_contexts(sample: DataFrame) -> DataFrame:
@@ -105,15 +107,14 @@ def count_contexts(sample: DataFrame) -> DataFrame:
 def fit(docs: DataFrame, bucket: Column | None = None) -> Model | None:
     """Learn from the bounded sample; None if there is nothing to learn from.
 
-    What reaches the driver is bounded by the sample: at most DOCS_PER_LANG x BYTES_PER_DOC counts a language.
+    What reaches the driver is bounded by the sample: at most a count for each of its bytes, in fact far fewer.
     """
     sample = learnable(docs, F.lit(True) if bucket is None else bucket)
     counts = keep(count_contexts(sample), "langid")
-    most = counts.groupBy("lang").agg(F.sum("n").alias("all")).orderBy(F.desc("all"), "lang").limit(MAX_LANGS)
-    langs = sorted(r["lang"] for r in most.collect())
+    rows = counts.toArrow()
+    langs = sorted(set(rows["lang"].to_pylist()))
     if not langs:
         return None
-    rows = counts.where(F.col("lang").isin(langs)).toArrow()
     lang = np.searchsorted(np.array(langs), np.array(rows["lang"].to_pylist()))
     return build(langs, lang, rows["gram"].to_numpy(), rows["n"].to_numpy())
 
