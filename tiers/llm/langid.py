@@ -74,7 +74,7 @@ def learnable(docs: DataFrame, bucket: Column) -> DataFrame:
     rows = docs.where(F.col("lang").isNotNull() & bucket)
     most = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGS)
     range_ = 1 << 30
-    share = F.ceil(F.lit(DOCS_PER_LANG) * range_ / F.col("n"))
+    share = F.ceil(F.lit(float(DOCS_PER_LANG * range_)) / F.col("n"))
     drawn = rows.join(F.broadcast(most.select("lang", share.alias("share"))), "lang")
     drawn = drawn.where(F.pmod(F.xxhash64("doc_id"), F.lit(range_)) < F.col("share")).where(F.col("text").isNotNull())
     return drawn.select("lang", F.expr(f"left(text, {CHARS_PER_DOC})").alias("text"))
