@@ -149,35 +149,64 @@ def blocks(html: str | None) -> list[tuple[str, int, str]]:
     return [b for b in parser.found if b[1] == best]
 
 
-def parsed(pages: DataFrame) -> DataFrame:
-    """A row per page (block -1, without text) and one per block of it; `page` numbers the rows of the table."""
+HOST = "coalesce(lower(regexp_extract(url, '^[^:]*://([^/?#]*)', 1)), '')"
+
+
+def inputs(pages: DataFrame) -> DataFrame:
+    cast = [F.col("page_id").cast("long"), F.col("url").cast("string"), F.col("html").cast("string")]
+    return pages.select(*cast).select("page_id", "url", F.expr(HOST).alias("host"), "html")
+
+
+def batched(rows, names, kinds, most=2000):
+    """Record batches of some rows each."""
+    held = []
+    for row in rows:
+        held.append(row)
+        if len(held) == most:
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*held, strict=True), kinds, strict=True)], names)
+            held = []
+    if held:
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*held, strict=True), kinds, strict=True)], names)
+
+
+def rows_of(batches):
+    for batch in batches:
+        for page_id, url, host, html in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+            yield page_id, url, host, blocks(html)
+
+
+def declared(pages: DataFrame) -> DataFrame:
+    """page_id, url, text of the pages that say what their article is; the tree has no say in them."""
 
     def run(batches):
+        texts = ((i, u, " ".join(t for _, _, t in found)) for i, u, _, found in rows_of(batches) if found and found[0][1] == 2)
+        yield from batched(texts, ["page_id", "url", "text"], [pa.int64(), pa.string(), pa.string()])
+
+    return inputs(pages).mapInArrow(run, "page_id long, url string, text string")
+
+
+def parsed(pages: DataFrame) -> DataFrame:
+    """Of all other pages a row each (block -1, without text) and one per block; `page` numbers the pages."""
+
+    def rows(batches):
         count = TaskContext.get().partitionId() << 40
-        for batch in batches:
-            out = []
-            for page_id, url, host, html in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                out.append((count, -1, page_id, url, host, None, 0, None))
-                for i, (path, standing, text) in enumerate(blocks(html)):
-                    out.append((count, i, None, None, host, path, standing, text))
-                count += 1
-                if len(out) > 5000:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names)
-                    out = []
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names)
-
-    names = ["page", "block", "page_id", "url", "host", "path", "standing", "text"]
-    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.int32(), pa.string()]
-    host = F.coalesce(F.lower(F.regexp_extract("url", "^[^:]*://([^/?#]*)", 1)), F.lit(""))
-    rows = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), host.alias("host"), F.col("html").cast("string").alias("html"))
-    schema = "page long, block int, page_id long, url string, host string, path string, standing int, text string"
-    return rows.mapInArrow(run, schema)
+        for page_id, url, host, found in rows_of(batches):
+            count += 1
+            if not found or found[0][1] < 2:
+                yield count, -1, page_id, url, host, None, None
+                for i, (path, _, text) in enumerate(found):
+                    yield count, i, None, None, host, path, text
+
+    def run(batches):
+        kinds = [pa.int64(), pa.int32(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.string()]
+        yield from batched(rows(batches), ["page", "block", "page_id", "url", "host", "path", "text"], kinds)
+
+    return inputs(pages).mapInArrow(run, "page long, block int, page_id long, url string, host string, path string, text string")
 
 
 def style_tree(found: DataFrame) -> DataFrame:
     """host, path, blocks, importance (0 to 1) of every path outside declared articles."""
-    outside = found.where("block >= 0 and standing < 2")
+    outside = found.where("block >= 0")
     contents = outside.groupBy("host", "path", F.xxhash64("text").alias("content")).agg(F.count("*").alias("n"))
     paths = contents.groupBy("host", "path").agg(F.sum("n").alias("blocks"), F.sum(F.col("n") * F.log2("n")).alias("known"))
     greatest = F.log2("blocks")
@@ -193,13 +222,12 @@ def main_text(pages: DataFrame, least: float = LEAST_ENTROPY, many: int = LEAST_
     """
     found = keep(parsed(pages), "pages")
     low = style_tree(found).where((F.col("blocks") >= many) & (F.col("importance") < least)).select("host", "path")
-    kept = found.where("block < 0 or standing >= 2").unionByName(
-        found.where("block >= 0 and standing < 2").join(low, ["host", "path"], "left_anti")
-    )
+    kept = found.where("block < 0").unionByName(found.where("block >= 0").join(low, ["host", "path"], "left_anti"))
     texts = kept.groupBy("page").agg(
         F.max("page_id").alias("page_id"),
         F.max("url").alias("url"),
         F.array_sort(F.collect_list(F.when(F.col("block") >= 0, F.struct("block", "text")))).alias("blocks"),
     )
     text = F.array_join(F.transform("blocks", lambda b: b["text"]), " ")
-    return texts.select("page_id", "url", text.alias("text")).withColumn("n_chars", F.length("text").cast("long"))
+    whole = texts.select("page_id", "url", text.alias("text")).unionByName(declared(pages))
+    return whole.withColumn("n_chars", F.length("text").cast("long"))
