@@ -1,10 +1,10 @@
 """WARC archives with a two-level capture index.
 
-Captures are sorted by their URL with the host reversed (`org,example,www)/path`) and page_id, and cut into ranges. Each
-range becomes an archive (a gzip member per record), an index part (sorted lines, in compressed blocks of `BLOCK`) and a
-sparse directory of that part's blocks. A capture is found by binary search: for the part among the parts' first keys, for
-the block in that part's directory, for the line in the block; two range reads fetch the block and the record.
-Payloads that occur again are written as revisit records that name the response.
+Each task writes its records to an archive, a gzip member per record; payloads that occur again become revisit records that
+name the response. The captures' index lines are sorted by URL with the host reversed (`org,example,www)/path`) and page_id
+and cut into ranges; each range becomes an index part, compressed blocks of `BLOCK` lines, and a sparse directory of that
+part's blocks. A capture is found by binary search: for the part among the parts' first keys, for the block in that
+part's directory, for the line in the block; two range reads fetch the block and the record.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ import hashlib
 import json
 import re
 from bisect import bisect_left, bisect_right
+from functools import lru_cache
 from itertools import groupby
 
 import pyarrow as pa
@@ -26,8 +27,8 @@ from pyspark.sql import functions as F
 from tiers.llm.common import keep
 from tiers.sources.workdir import new_folder
 
-#: Lines of an index block.
-BLOCK = 512
+#: Lines of an index block; archives a look-up task holds open.
+BLOCK, OPEN = 512, 256
 DATE = "2000-01-01T00:00:00Z"
 
 
@@ -65,7 +66,7 @@ def parsed(data: bytes) -> tuple[dict[str, str], bytes]:
 
 
 def write(pages: DataFrame, least: int = 0) -> tuple[DataFrame, str]:
-    """Archives, index parts and directories in a new shared folder; a row per part with its first key.
+    """Archives in a new shared folder, and a row per capture: surt, page_id, archive, offset, length.
 
     Of rows with equal payloads (NULL html: empty) of `least` bytes or more, those with the smallest page_id are responses
     and the others revisits; shorter ones are all responses. If only NULL ids share a payload, all are responses.
@@ -77,60 +78,85 @@ def write(pages: DataFrame, least: int = 0) -> tuple[DataFrame, str]:
     rows = pages.select("page_id", "url", "html", surt.alias("surt"), F.sha1(F.coalesce("html", F.lit(""))).alias("sha"))
     firsts = rows.groupBy("sha").agg(F.min("page_id").alias("first"))
     again = (F.coalesce(F.octet_length("html"), F.lit(0)) >= least) & ~F.col("page_id").eqNullSafe(F.col("first"))
-    marked = rows.join(firsts, "sha").withColumn("first", F.when(again, F.col("first")))
+    marked = rows.join(firsts.hint("shuffle_hash"), "sha").withColumn("first", F.when(again, F.col("first")))
     marked = marked.withColumn("html", F.when(F.col("first").isNull(), F.col("html")))
-    placed = marked.repartitionByRange("surt", "page_id").sortWithinPartitions("surt", "page_id")
 
     def run(batches):
-        name, files, at = None, [], [0, 0]
-        block, directory, n = [], [], 0
+        name, at = None, 0
+        for batch in batches:
+            lines = []
+            for row in batch.to_pylist():
+                if name is None:
+                    name, store, path = attempt(folder)
+                    file = store.open_output_stream(f"{path}/{name}.warc.gz", compression=None)
+                data = gzip.compress(record(row), 6, mtime=0)
+                file.write(data)
+                lines.append({"surt": row["surt"], "page_id": row["page_id"], "archive": name, "offset": at, "length": len(data)})
+                at += len(data)
+            yield pa.RecordBatch.from_pylist(lines, LINES)
+        if name is not None:
+            file.close()
+
+    ready = marked.select("page_id", "url", "html", "surt", "sha", "first")
+    return keep(ready.mapInArrow(run, "surt string, page_id long, archive string, offset long, length long"), "warc-captures"), folder
+
+
+LINES = pa.schema([("surt", pa.string()), ("page_id", pa.int64()), ("archive", pa.string()), ("offset", pa.int64()), ("length", pa.int64())])
+
 
-        def flush():
+def attempt(folder: str) -> tuple[str, fs.FileSystem, str]:
+    """A file name that no other attempt of a task uses, and the folder; what a lost attempt leaves is never named."""
+    task = TaskContext.get()
+    store, path = fs.FileSystem.from_uri(folder)
+    store.create_dir(path, recursive=True)
+    return f"{task.stageId()}-{task.partitionId():06d}-{task.taskAttemptId()}", store, path
+
+
+def index(captures: DataFrame, folder: str) -> DataFrame:
+    """Index parts and their directories; a row per part with its first key."""
+
+    def run(batches):
+        name, at, n, block, directory = None, 0, 0, [], []
+
+        def flush(at: int) -> int:
             data = gzip.compress("".join(json.dumps(x) + "\n" for x in block).encode(), 6, mtime=0)
-            directory.append([*block[0][:2], at[1], len(data)])
-            files[1].write(data)
-            at[1] += len(data)
+            directory.append([*block[0][:2], at, len(data)])
+            file.write(data)
             block.clear()
+            return at + len(data)
 
         for batch in batches:
             for row in batch.to_pylist():
                 if name is None:
-                    task = TaskContext.get()
-                    name = f"{task.partitionId():06d}-{task.taskAttemptId()}"
-                    store, path = fs.FileSystem.from_uri(folder)
-                    store.create_dir(path, recursive=True)
-                    files = [store.open_output_stream(f"{path}/{name}.{kind}", compression=None) for kind in ("warc.gz", "idx")]
-                data = gzip.compress(record(row), 6, mtime=0)
-                files[0].write(data)
-                block.append([row["surt"], row["page_id"], at[0], len(data)])
-                at[0] += len(data)
+                    name, store, path = attempt(folder)
+                    file = store.open_output_stream(f"{path}/{name}.idx", compression=None)
+                block.append(list(row.values()))
                 n += 1
                 if len(block) == BLOCK:
-                    flush()
+                    at = flush(at)
         if name is not None:
             if block:
-                flush()
-            for f in files:
-                f.close()
+                flush(at)
+            file.close()
             with store.open_output_stream(f"{path}/{name}.dir", compression=None) as f:
                 f.write("".join(json.dumps(x) + "\n" for x in directory).encode())
-            first = directory[0]
-            yield pa.RecordBatch.from_pylist(
-                [{"part": name, "surt": first[0], "page_id": first[1], "captures": n}],
-                pa.schema([("part", pa.string()), ("surt", pa.string()), ("page_id", pa.int64()), ("captures", pa.int64())]),
-            )
+            yield pa.RecordBatch.from_pylist([{"part": name, "surt": directory[0][0], "page_id": directory[0][1], "captures": n}], PARTS)
+
+    ranges = captures.select(*LINES.names).repartitionByRange("surt", "page_id").sortWithinPartitions("surt", "page_id")
+    return keep(ranges.mapInArrow(run, "part string, surt string, page_id long, captures long"), "warc-parts")
+
 
-    return keep(placed.select("page_id", "url", "html", "surt", "sha", "first").mapInArrow(run, "part string, surt string, page_id long, captures long"), "warc-parts"), folder
+PARTS = pa.schema([("part", pa.string()), ("surt", pa.string()), ("page_id", pa.int64()), ("captures", pa.int64())])
 
 
 class Part:
-    """An index part opened for look-ups by range reads."""
+    """An index part opened for look-ups by range reads; a bounded number of archives stays open."""
 
     def __init__(self, folder: str, name: str):
-        self.store, path = fs.FileSystem.from_uri(folder)
-        self.index = self.store.open_input_file(f"{path}/{name}.idx")
-        self.archive = self.store.open_input_file(f"{path}/{name}.warc.gz")
-        with self.store.open_input_stream(f"{path}/{name}.dir", compression=None) as f:
+        self.store, self.path = fs.FileSystem.from_uri(folder)
+        self.index = self.store.open_input_file(f"{self.path}/{name}.idx")
+        self.archive = lru_cache(OPEN)(lambda x: self.store.open_input_file(f"{self.path}/{x}.warc.gz"))
+        with self.store.open_input_stream(f"{self.path}/{name}.dir", compression=None) as f:
             self.blocks = [json.loads(x) for x in f.read().decode().splitlines()]
         self.firsts = [order(*b[:2]) for b in self.blocks]
         self.loaded, self.lines, self.keys = -1, [], []
@@ -147,7 +173,7 @@ class Part:
         for i in range(max(0, bisect_left(self.firsts, key) - 1), bisect_right(self.firsts, key)):
             self.block(i)
             for line in self.lines[bisect_left(self.keys, key) : bisect_right(self.keys, key)]:
-                yield parsed(gzip.decompress(self.archive.read_at(line[3], line[2])))
+                yield parsed(gzip.decompress(self.archive(line[2]).read_at(line[4], line[3])))
 
 
 def read(captures: DataFrame, parts: DataFrame, folder: str) -> DataFrame:
@@ -216,7 +242,8 @@ def archived(pages: DataFrame, least: int = 0) -> DataFrame:
     page_id, payload_bytes and payload_digest (of the whole payload; a revisit has them from its response), record_type,
     refers_to. Repeated rows come out as often as they went in; NULL ids and urls are indexed under an empty key.
     """
-    parts, folder = write(pages.withColumn("page_id", F.col("page_id").cast("long")), least)
+    captures, folder = write(pages.withColumn("page_id", F.col("page_id").cast("long")), least)
+    parts = index(captures, folder)
     back = keep(read(listed(parts, folder), parts, folder), "warc-back")
     full = back.where("record_type = 'response'").groupBy("payload_digest").agg(F.max("payload_bytes").alias("payload_bytes"))
     return back.drop("payload_bytes").join(full, "payload_digest").select(
