@@ -128,9 +128,10 @@ def pruned(x: np.ndarray, names: np.ndarray) -> np.ndarray:
     for j in range(FAR):
         far = mix(names.astype(np.int64).view(np.uint64) + np.uint64(j + 1)) % np.uint64(n)
         out[:, DEGREE + j] = np.where(far.astype(np.int64) == np.arange(n), -1, far.astype(np.int64))
-    # Edges back, as far as there is room.
+    # Edges back, as far as there is room; those to nodes that few others know come first.
     source, target = np.nonzero(out >= 0)[0], out[out >= 0]
-    order = np.argsort(target, kind="stable")
+    known = np.bincount(target, minlength=n)
+    order = np.lexsort((known[source], target))
     source, target = source[order], target[order]
     place = np.arange(len(target)) - np.searchsorted(target, target)
     room = place < MOST - DEGREE - FAR
@@ -160,22 +161,23 @@ def within(x: np.ndarray, near: list[np.ndarray], entries: np.ndarray, q: np.nda
     beam = np.append(entries, own) if own >= 0 else entries
     seen[beam] = True
     value, done = x[beam] @ q, np.zeros(len(beam), bool)
+    inside = [beam[value >= cosine - SLACK]]
     while True:
         order = np.argsort(-value, kind="stable")[:BEAM]
         beam, value, done = beam[order], value[order], done[order]
         todo = np.flatnonzero(~done)
-        # In range at once: all nodes there are expanded together below.
-        if not len(todo) or value[0] >= cosine - SLACK and value[todo[0]] < cosine - SLACK:
+        # Once there, the expansion below does the rest.
+        if not len(todo) or value[0] >= cosine - SLACK and value[todo[0]] < cosine - SLACK or len(inside) > BEAM:
             break
         done[todo[0]] = True
         new = near[beam[todo[0]]]
         new = new[~seen[new]]
         seen[new] = True
         beam, value, done = np.append(beam, new), np.append(value, x[new] @ q), np.append(done, np.zeros(len(new), bool))
-        if value[0] >= cosine - SLACK and len(done) > 2 * BEAM:
-            break
-    inside = beam[value >= cosine - SLACK]
-    found, frontier = [inside], inside
+        if (value[len(value) - len(new) :] >= cosine - SLACK).any():
+            inside.append(new[value[len(value) - len(new) :] >= cosine - SLACK])
+    frontier = np.concatenate(inside)
+    found = [frontier]
     while len(frontier):
         new = np.unique(np.concatenate([near[i] for i in frontier]))
         new = new[~seen[new]]
