@@ -130,3 +130,35 @@ def test_export(spark, tmp_path):
     assert content.splitlines() == [b"k|v", b"1|plain", b'2|"a|b"', b'3|"say \\"x\\""', b"4|Jalape?o", b"5|"]
     back = spark.read.options(**TEXT_FORMAT).csv(path).orderBy("k")
     assert [r["v"] for r in back.collect()] == ["plain", "a|b", 'say "x"', "Jalape?o", None]
+
+
+def test_a_narrower_source_is_refused_before_anything_is_written(spark, schema):
+    table, columns = f"{schema}.t", "k int, v string, n int"
+    upsert(spark, table, spark.createDataFrame([(1, "a", 5)], columns), ["k"])
+    for change in (upsert, replace_by_key):
+        with pytest.raises(ValueError, match="lacks columns.*n"):
+            change(spark, table, frame(spark, [(1, "x")]), ["k"])
+    assert rows(spark.table(table)) == {(1, "a", 5): 1}
+    assert [t.name for t in spark.catalog.listTables(schema)] == ["t"]
+
+
+def test_a_new_column_widens_the_table(spark, schema):
+    table = f"{schema}.t"
+    upsert(spark, table, frame(spark, [(1, "a"), (2, "b")]), ["k"])
+    upsert(spark, table, spark.createDataFrame([(9, 2, "B")], "n int, k int, v string"), ["k"])
+    assert rows(spark.table(table).select("k", "v", "n")) == {(1, "a", None): 1, (2, "B", 9): 1}
+
+
+def test_null_keys_are_added_each_time(spark, schema):
+    table = f"{schema}.t"
+    for _ in range(2):
+        upsert(spark, table, frame(spark, [(None, "x"), (None, "y"), (1, "a")]), ["k"])
+    assert rows(spark.table(table)) == {(None, "x"): 2, (None, "y"): 2, (1, "a"): 1}
+
+
+def test_the_reject_log_keeps_new_columns(spark, schema):
+    table = f"{schema}.log"
+    append_rejects(spark, table, spark.createDataFrame([("i", 1)], "reject_id string, a int"))
+    append_rejects(spark, table, spark.createDataFrame([("i", 1, 2), ("j", 3, 4)], "reject_id string, a int, b int"))
+    append_rejects(spark, table, spark.createDataFrame([("k", 5)], "reject_id string, a int"))
+    assert rows(spark.table(table)) == {("i", 1, None): 1, ("j", 3, 4): 1, ("k", 5, None): 1}

@@ -16,6 +16,7 @@ _NUMBER = (
 )
 _PLAIN_NUMBER = "^[+-]?[0-9]+$"
 FIGURES = ("filled", "missing", "mean", "stddev", "text_min", "text_max", "number_min", "number_max")
+NUMBER_FIGURES = ("mean", "stddev", "number_min", "number_max")
 
 
 def _name(column: str) -> str:
@@ -112,8 +113,7 @@ def key_duplicates(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def profile_report(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The whole profile as (column_name, figure, value) rows, ready to be stored or compared over time."""
-    figures = ("data_type", "filled", "missing", "text_min", "text_max")
-    columns = profile(df).selectExpr("column_name", _as_rows(figures))
+    columns = profile(df).selectExpr("column_name", _as_rows(("data_type", *FIGURES)))
     copies = _copies(df).selectExpr("'*' AS column_name", _as_rows(("row_count", "duplicate_rows")))
     repeated = key_duplicates(df, keys).selectExpr("count(1) AS duplicate_keys")
     keyed = repeated.selectExpr("'*' AS column_name", _as_rows(("duplicate_keys",)))
@@ -121,5 +121,11 @@ def profile_report(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def _as_rows(figures: Sequence[str]) -> str:
-    pairs = ", ".join(f"struct('{name}' AS figure, CAST({name} AS string) AS value)" for name in figures)
+    def text(name: str) -> str:
+        if name not in NUMBER_FIGURES:
+            return f"CAST({name} AS string)"
+        # Six decimals, unless the number is too large to have them.
+        return f"coalesce(CAST(try_cast({name} AS decimal(38, 6)) AS string), CAST({name} AS string))"
+
+    pairs = ", ".join(f"struct('{name}' AS figure, {text(name)} AS value)" for name in figures)
     return f"inline(array({pairs}))"

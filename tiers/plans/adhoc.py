@@ -5,13 +5,15 @@ from __future__ import annotations
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tiers.functions.casts import typed_projection
+from tiers.functions.casts import trim_or_keep, typed_projection
 from tiers.functions.dates import day_counts
 from tiers.functions.names import normalize_names
 from tiers.operators.joins import spread_join
 from tiers.operators.profile import profile_report
 from tiers.operators.quality import date_order, latest_per_key, required_ok
+from tiers.session import tune
 from tiers.sinks.export import export_path, export_text
 from tiers.sources.csv import scan_text
 from tiers.specs import AVOCADO, CONSUMER, FERTILIZER, PURCHASE, SPECS
@@ -20,9 +22,11 @@ PURCHASE_KEY = ["purchaseid", "consumerid"]
 
 
 def one_fertilizer_each(fertilizer: DataFrame) -> DataFrame:
-    """One row per fertilizer id; rows without an id count as one key, like any other value."""
-    order = [c for c in FERTILIZER.names if c not in FERTILIZER.primary_key]
-    return latest_per_key(fertilizer, FERTILIZER.primary_key, order, keep_null_keys=True)
+    """One row per fertilizer id, however its number is written; rows without one count as one key."""
+    (key,) = FERTILIZER.primary_key
+    order = [c for c in FERTILIZER.names if c != key]
+    keyed = fertilizer.withColumn("_key", trim_or_keep(F.col(key)))
+    return latest_per_key(keyed, ["_key"], order, keep_null_keys=True).drop("_key")
 
 
 def purchase_view(
@@ -92,6 +96,7 @@ def adhoc_output(
     spark: SparkSession, paths: dict[str, str], folder: str, iteration: int = 1, day: date | None = None
 ) -> str:
     """Read the raw feeds, clean and join them, export the result; returns where it was written."""
+    tune(spark)
     target = export_path(folder, iteration, day)
     export_text(purchase_view(**load_feeds(spark, paths)), target)
     return target

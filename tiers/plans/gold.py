@@ -9,6 +9,7 @@ from tiers.functions.casts import align
 from tiers.functions.dates import day_counts
 from tiers.operators.joins import spread_join
 from tiers.operators.quality import positive_durations
+from tiers.session import tune
 from tiers.sinks.tables import replace_by_key
 from tiers.sources.csv import load_time
 from tiers.specs import UPDATED_AT, gold_schema
@@ -70,6 +71,7 @@ def gold_refresh(
     spark: SparkSession, silver: dict[str, str], gold_table: str, now=None, consumer_id_type: str = "string"
 ) -> None:
     """Recompute the output from the silver tables and replace the rows of every consumer in it."""
+    tune(spark)
     frames = {name: spark.table(table) for name, table in silver.items()}
     rows = gold_output(**frames, consumer_id_type=consumer_id_type).withColumn(UPDATED_AT, load_time(now))
     replace_by_key(spark, gold_table, rows, ["consumer_id"])

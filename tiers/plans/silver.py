@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tiers.functions.casts import align, typed, validate
 from tiers.operators.quality import REJECT_ID, latest_per_key, rejects, required_ok, row_id
+from tiers.session import tune
 from tiers.sinks.tables import append_rejects, upsert
 from tiers.sources.csv import load_time
 from tiers.specs import LOAD_TIMESTAMP, UPDATED_AT, EntitySpec
@@ -45,6 +46,7 @@ def silver_refresh(
     same silver rows. Clean and rejected rows come from two scans on purpose: the second is a filter with
     no shuffle, which costs less than caching a bronze table would.
     """
+    tune(spark)
     bronze = spark.table(bronze_table)
     if since is not None:
         bronze = bronze.filter(F.col(LOAD_TIMESTAMP) > F.lit(since).cast("timestamp"))

@@ -60,6 +60,7 @@ SAMPLE_COLUMNS = {
     "conversations": {"conv_id": "n", "turn": "n", "role": "s", "text": "s"},
     "customer": {"c_custkey": "n", "c_name": "s", "c_nationkey": "n", "c_acctbal": "n", "c_mktsegment": "s"},
     "documents": {"doc_id": "n", "text": "s", "lang": "s", "source": "s", "n_chars": "n"},
+    "embeddings": {"vec_id": "n", "embedding": "o", "label": "n"},
     "events": {"event_id": "n", "ts": "o", "user_id": "n", "event_type": "s", "value": "n", "props": "s"},
     "labels": {"doc_id": "n", "quality": "n", "toxic": "n"},
     "lineitem": {
@@ -238,7 +239,8 @@ def purchase_view() -> str:
     order = columns(*[f"{c} asc nulls last" for c in spec.names if c != "fertilizerid"])
 
     def one_each(source: str) -> str:
-        ranked = f"select *, row_number() over (partition by fertilizerid order by {source}{order}) as rn"
+        key = f"coalesce(cast({whole('fertilizerid', 'bigint')} as varchar), trim(fertilizerid))"
+        ranked = f"select *, row_number() over (partition by {key} order by {source}{order}) as rn"
         return f"select * from ({ranked} from bz_fertilizer) where rn = 1"
 
     return f"""
@@ -276,6 +278,21 @@ def is_missing(column: str, kind: str = "s") -> str:
     return f"({column} is null or coalesce(isnan(try_cast({column} as double)), false))"
 
 
+SPARK_NAMES = " ".join(
+    f"when '{duck}' then '{spark}'"
+    for duck, spark in (
+        ("BIGINT", "bigint"),
+        ("INTEGER", "int"),
+        ("DOUBLE", "double"),
+        ("VARCHAR", "string"),
+        ("DATE", "date"),
+        ("TIMESTAMP", "timestamp_ntz"),
+        ("TIMESTAMP WITH TIME ZONE", "timestamp"),
+        ("FLOAT[]", "array<float>"),
+    )
+)
+
+
 def profile(feed: str, source: str, kinds: dict[str, str], types: bool = True) -> str:
     rows = []
     for name, kind in kinds.items():
@@ -283,7 +300,7 @@ def profile(feed: str, source: str, kinds: dict[str, str], types: bool = True) -
         text = kind == "s"
         figures = [f"'{feed}' as feed", f"'{name}' as column_name"]
         if types:
-            figures.append("'string' as data_type")
+            figures.append(f"case max(typeof({name})) {SPARK_NAMES} end as data_type")
         figures += [
             "count(*) as row_count",
             f"count({name}) as filled",
@@ -312,11 +329,15 @@ def report_of_feeds() -> str:
         source, (key,) = f"bz_{name}", spec.primary_key
         for c in spec.feed_order:
             for figure, value in (
-                ("data_type", "min('string')"),
+                ("data_type", f"case max(typeof({c})) {SPARK_NAMES} end"),
                 ("filled", f"cast(count({c}) as varchar)"),
                 ("missing", f"cast(count(*) filter (where {is_missing(c)}) as varchar)"),
                 ("text_min", f"min({c})"),
                 ("text_max", f"max({c})"),
+                *[
+                    (figure, f"cast(cast({function}(try_cast({c} as double)) as decimal(38, 6)) as varchar)")
+                    for figure, function in (("mean", "avg"), ("stddev", "stddev_samp"), ("number_min", "min"), ("number_max", "max"))
+                ],
             ):
                 parts.append(f"select '{name}' as feed, '{c}' as column_name, '{figure}' as figure, {value} as value from {source}")
         for figure, value in (
@@ -361,6 +382,10 @@ def all_oracles() -> dict[str, str]:
         f"from (select {business(purchase)} from bz_purchase)",
         "purchase",
     )
+    mixed = (
+        "select * replace (case when length(purchaseid) % 2 = 0 then fertilizerid || '.0' else ' ' || fertilizerid end "
+        f"as fertilizerid) from ({FEED_SQL['fertilizer']})"
+    )
     sql = {
         "scan_csv_text": with_feeds(f"select {business(avocado)} from bz_avocado", "avocado"),
         "ingest_metadata": with_feeds(
@@ -375,6 +400,14 @@ def all_oracles() -> dict[str, str]:
         "read_drops_by_header": split_purchases,
         "ingest_stream_purchase": purchases,
         "ingest_stream_evolve": split_purchases,
+        "evolve_to_silver": with_feeds(
+            f"select {columns(*purchase.names)} from ({clean(purchase, 'evolved')})",
+            "purchase",
+            evolved=f"""select * replace (
+                case when graphed_date < '{MIDDLE}' then null else price_index end as price_index,
+                case when graphed_date < '{MIDDLE}' then timestamp '{RUN_TIME}' else timestamp '{LATER_RUN}' end as load_timestamp)
+                from bz_purchase""",
+        ),
         "ingest_stream_as_found": with_feeds(f"select {business(avocado)} from bz_avocado", "avocado"),
         "normalize_names": with_feeds(
             f"select {business(purchase)}, regexp_replace(qa_process, '[^a-zA-Z0-9]', '_', 'g') as qa_identifier "
@@ -399,7 +432,7 @@ def all_oracles() -> dict[str, str]:
             )
         ),
         "profile_stats": with_feeds(profile_of_feeds()),
-        "profile_tables": "\nunion all ".join(profile(t, t, SAMPLE_COLUMNS[t], types=False) for t in SAMPLE_TABLES),
+        "profile_tables": "\nunion all ".join(profile(t, t, SAMPLE_COLUMNS[t]) for t in SAMPLE_TABLES),
         "full_row_duplicates": with_feeds(
             "\nunion all ".join(
                 f"select '{label}' as feed, cast(coalesce(sum(n - 1), 0) as bigint) as duplicate_rows "
@@ -439,6 +472,7 @@ def all_oracles() -> dict[str, str]:
             "avocado",
         ),
         "purchase_view": with_feeds(purchase_view()),
+        "purchase_view_mixed_ids": with_feeds(purchase_view(), bz_fertilizer=mixed),
         "explore_outer": with_feeds(EXPLORE),
         "gold_output": with_feeds(gold(), **silver()),
         "gold_output_numbered": with_feeds(gold(consumer_id=whole("a.consumerid", "bigint")), **silver()),
@@ -447,6 +481,14 @@ def all_oracles() -> dict[str, str]:
         "create_table": with_feeds(f"select {business(consumer)}, {AUDIT} from bz_consumer", "consumer"),
         "upsert_avocado": upserted(("purchaseid",)),
         "upsert_bucketed": upserted(("purchaseid",)),
+        "upsert_widened": upserted(("purchaseid",)).replace("from old_rows o", "from (select * replace (cast(null as date) as sold_date) from old_rows) o"),
+        "reject_log_widened": with_feeds(
+            restamped(
+                f"select * replace (case when load_timestamp < timestamp '{MIDDLE}' then null else sold_date_raw end as sold_date_raw) "
+                f"from ({rejected(avocado)})"
+            ),
+            "avocado",
+        ),
         "upsert_composite_key": upserted(("consumerid", "purchaseid")),
         "replace_by_key_gold": replaced_gold(),
         "reject_table_twice": with_feeds(restamped(rejected(fertilizer)), "fertilizer"),

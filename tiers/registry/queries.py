@@ -7,6 +7,7 @@ tables they go to a fresh folder in the shared work space. Times are passed in,
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import date
 from functools import partial, reduce
 
@@ -53,6 +54,7 @@ SAMPLE_TABLES = (
     "conversations",
     "customer",
     "documents",
+    "embeddings",
     "events",
     "labels",
     "lineitem",
@@ -106,7 +108,7 @@ def _earlier(df: DataFrame, column: str) -> DataFrame:
 
 
 def _later(df: DataFrame, column: str) -> DataFrame:
-    return df.filter(F.col(column) >= MIDDLE)
+    return df.filter(F.coalesce(F.col(column) >= MIDDLE, F.lit(True)))
 
 
 # Sources
@@ -152,24 +154,34 @@ def ingest_stream_purchase(spark: SparkSession, folder: str) -> DataFrame:
     return _business(spark.table(table))
 
 
+def _without(spec: EntitySpec, column: str) -> EntitySpec:
+    columns = tuple(c for c in spec.columns if c.name != column)
+    return replace(spec, columns=columns, feed_order=tuple(c for c in spec.feed_order if c != column))
+
+
 def ingest_stream_evolve(spark: SparkSession, folder: str) -> DataFrame:
     """The feed gains a column between two runs of one stream."""
     root, schema = new_folder(spark, "evolve"), _new_schema(spark, "evolve")
     rows, table = feed(spark, folder, "purchase"), f"{schema}.purchase"
-    narrow = EntitySpec(
-        name=PURCHASE.name,
-        columns=tuple(c for c in PURCHASE.columns if c.name != "price_index"),
-        feed_order=tuple(c for c in PURCHASE.feed_order if c != "price_index"),
-        primary_key=PURCHASE.primary_key,
-        required=PURCHASE.required,
-        merge_key=PURCHASE.merge_key,
-    )
+    narrow = _without(PURCHASE, "price_index")
     for spec, part in ((narrow, _earlier(rows, "graphed_date")), (PURCHASE, _later(rows, "graphed_date"))):
         _deliver(raw_feed(part, spec), f"{root}/purchase")
         ingest(spark, spec, f"{root}/purchase", table, f"{root}/checkpoints", now=RUN_TIME)
     return _business(spark.table(table))
 
 
+def evolve_to_silver(spark: SparkSession, folder: str) -> DataFrame:
+    """A feed gains a column between two deliveries; each is taken to bronze and on to silver."""
+    root, schema = new_folder(spark, "evolve"), _new_schema(spark, "evolve")
+    rows = feed(spark, folder, "purchase")
+    deliveries = ((_without(PURCHASE, "price_index"), _earlier, RUN_TIME), (PURCHASE, _later, LATER_RUN))
+    for spec, part, now in deliveries:
+        _deliver(raw_feed(part(rows, "graphed_date"), spec), f"{root}/purchase")
+        ingest(spark, spec, f"{root}/purchase", f"{schema}.bronze", f"{root}/checkpoints", now=now)
+        silver_refresh(spark, spec, f"{schema}.bronze", f"{schema}.silver", f"{schema}.rejects", now)
+    return spark.table(f"{schema}.silver").select(*PURCHASE.names)
+
+
 def ingest_stream_as_found(spark: SparkSession, folder: str) -> DataFrame:
     """A feed taken in under the names of its header, without a spec."""
     root, schema = new_folder(spark, "found"), _new_schema(spark, "found")
@@ -225,7 +237,7 @@ def profile_stats(spark: SparkSession, folder: str) -> DataFrame:
 def profile_tables(spark: SparkSession, folder: str) -> DataFrame:
     """The sample tables themselves, which also hold numbers, long texts and times."""
     tables = {name: spark.read.parquet(f"{folder}/{name}.parquet") for name in SAMPLE_TABLES}
-    return _rounded(_stacked({name: profile(df) for name, df in tables.items()}).drop("data_type"))
+    return _rounded(_stacked({name: profile(df) for name, df in tables.items()}))
 
 
 def duplicate_rows(spark: SparkSession, folder: str) -> DataFrame:
@@ -283,6 +295,14 @@ def purchases(spark: SparkSession, folder: str) -> DataFrame:
     return purchase_view(**_feeds(spark, folder))
 
 
+def mixed_ids(spark: SparkSession, folder: str) -> DataFrame:
+    """The purchase view where the same fertilizer id is written as a padded or a fractional number."""
+    feeds = _feeds(spark, folder)
+    even = F.length("purchaseid") % 2 == 0
+    written = F.when(even, F.concat("fertilizerid", F.lit(".0"))).otherwise(F.concat(F.lit(" "), "fertilizerid"))
+    return purchase_view(**{**feeds, "fertilizer": feeds["fertilizer"].withColumn("fertilizerid", written)})
+
+
 def everything(spark: SparkSession, folder: str) -> DataFrame:
     return explore_outer(**{name: _business(df) for name, df in _feeds(spark, folder).items()})
 
@@ -327,6 +347,22 @@ def upserted(keys: tuple[str, ...], buckets: int | None, spark: SparkSession, fo
     return _readable(spark.table(table))
 
 
+def upsert_widened(spark: SparkSession, folder: str) -> DataFrame:
+    """Earlier avocados without a column, then later ones with it: the table gains the column."""
+    rows, table = feed(spark, folder, "avocado"), f"{_new_schema(spark, 'widen')}.avocado"
+    upsert(spark, table, clean_rows(_earlier(rows, LOAD_TIMESTAMP), AVOCADO).drop("sold_date"), ("purchaseid",))
+    upsert(spark, table, clean_rows(_later(rows, LOAD_TIMESTAMP), AVOCADO), ("purchaseid",))
+    return _readable(spark.table(table))
+
+
+def reject_log_widened(spark: SparkSession, folder: str) -> DataFrame:
+    """Rejects of the earlier rows without a column, then of all rows with it: earlier ones stay as logged."""
+    rows, table = feed(spark, folder, "avocado"), f"{_new_schema(spark, 'rejects')}.avocado_rejects"
+    append_rejects(spark, table, rejected_rows(_earlier(rows, LOAD_TIMESTAMP), AVOCADO).drop("sold_date_raw"))
+    append_rejects(spark, table, rejected_rows(rows, AVOCADO))
+    return _readable(spark.table(table).drop(REJECT_ID))
+
+
 def created_table(spark: SparkSession, folder: str) -> DataFrame:
     """A table created empty from its spec, then filled in the order of its columns."""
     table = f"{_new_schema(spark, 'created')}.consumer"
@@ -404,6 +440,7 @@ def all_queries() -> dict[str, Query]:
         "read_drops_by_header": read_drops_by_header,
         "ingest_stream_purchase": ingest_stream_purchase,
         "ingest_stream_evolve": ingest_stream_evolve,
+        "evolve_to_silver": evolve_to_silver,
         "ingest_stream_as_found": ingest_stream_as_found,
         "normalize_names": normalized_names,
         **_per_feed("typed", typed_feed),
@@ -421,6 +458,7 @@ def all_queries() -> dict[str, Query]:
         "date_order": dates_in_order,
         "positive_durations": durations_positive,
         "purchase_view": purchases,
+        "purchase_view_mixed_ids": mixed_ids,
         "explore_outer": everything,
         "gold_output": gold,
         "gold_output_numbered": gold_numbered,
@@ -431,6 +469,8 @@ def all_queries() -> dict[str, Query]:
         "upsert_avocado": partial(upserted, ("purchaseid",), None),
         "upsert_bucketed": partial(upserted, ("purchaseid",), 8),
         "upsert_composite_key": partial(upserted, ("consumerid", "purchaseid"), None),
+        "upsert_widened": upsert_widened,
+        "reject_log_widened": reject_log_widened,
         "replace_by_key_gold": replaced_gold,
         "reject_table_twice": rejects_logged_twice,
         **_per_feed("silver_refresh", silver_refreshed),

@@ -10,8 +10,6 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a skewed join even where a later step then needs another shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    # A table bucketed by purchase joins in place on (purchase, consumer).
-    "spark.sql.requireAllClusterKeysForCoPartition": "false",
 }
 
 

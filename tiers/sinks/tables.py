@@ -66,11 +66,17 @@ def recover(spark: SparkSession, table: str) -> None:
 
 
 def refuse_repeated_keys(df: DataFrame, keys: Sequence[str]) -> None:
-    repeated = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1).take(1)
+    # NULL keys match nothing, so several rows may have them.
+    repeated = df.dropna(subset=list(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1).take(1)
     if repeated:
         raise ValueError(f"source holds several rows for one key, e.g. {repeated[0].asDict()}")
 
 
+def aligned(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """The columns of the schema by name; NULL in those the frame lacks."""
+    return df.select(*[F.col(f"`{f.name}`") if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in schema])
+
+
 def _merge(
     spark: SparkSession,
     table: str,
@@ -82,9 +88,14 @@ def _merge(
 ) -> None:
     """Write the source as the successor, add the old rows it does not replace, and swap.
 
-    With ``unique`` keys NULL matches nothing, otherwise it is a key like any other.
+    With ``unique`` keys NULL matches nothing, otherwise it is a key like any other. A new column in the
+    source widens the table; a source that lacks one is refused before anything is written.
     """
     recover(spark, table)
+    if spark.catalog.tableExists(table):
+        lacking = [c for c in spark.table(table).columns if c not in source.columns]
+        if lacking:
+            raise ValueError(f"source lacks columns of {table}: {', '.join(lacking)}")
     fresh, old = f"{table}__fresh_{uuid.uuid4().hex[:8]}", f"{table}__old"
     exists = spark.catalog.tableExists(table)
     # The source is computed once, straight into the successor; everything below reads it from there.
@@ -105,7 +116,7 @@ def _merge(
     pairs = [(F.col(k), F.col(f"_new_{k}")) for k in keys]
     match = reduce(and_, [a == b if unique else a.eqNullSafe(b) for a, b in pairs])
     kept = target.join(arrived, match, "left_anti")
-    kept.select(*spark.table(fresh).columns).write.insertInto(fresh)
+    aligned(kept, spark.table(fresh).schema).write.insertInto(fresh)
     spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
     spark.sql(f"ALTER TABLE {fresh} RENAME TO {table}")
     spark.sql(f"DROP TABLE {old}")
@@ -133,10 +144,14 @@ def replace_by_key(spark: SparkSession, table: str, source: DataFrame, keys: Seq
 
 
 def append_rejects(spark: SparkSession, table: str, rows: DataFrame) -> None:
-    """Append the rejects not logged yet; seeing the same bronze rows again adds nothing."""
+    """Append the rejects not logged yet; seeing the same bronze rows again adds nothing.
+
+    New columns widen the log; in columns that the rows lack they are logged as NULL.
+    """
     if not spark.catalog.tableExists(table):
         rows.write.saveAsTable(table)
         return
+    add_missing_columns(spark, table, rows.schema)
     logged = spark.table(table)
-    new = rows.join(logged.select(REJECT_ID).distinct(), REJECT_ID, "left_anti")
-    new.select(*logged.columns).write.insertInto(table)
+    new = rows.join(logged.select(REJECT_ID), REJECT_ID, "left_anti")
+    aligned(new, logged.schema).write.insertInto(table)
