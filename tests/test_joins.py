@@ -3,14 +3,7 @@ from collections import Counter
 
 import pytest
 
-from tiers.operators.joins import (
-    MAX_HOT_KEYS,
-    frequent_hashes,
-    key_counts,
-    plain_join,
-    scan_bytes,
-    spread_join,
-)
+from tiers.operators.joins import hot_keys, key_rows, plain_join, spread_join
 
 
 def rows(df):
@@ -42,7 +35,7 @@ def test_splitting_hot_keys_changes_no_row(skewed, how, keys):
     if keys == ["k"]:
         right = right.drop("j")
     wanted = left.join(right, keys, how)
-    got = spread_join(left, right, keys, how, share=0.1, min_bytes=0, rows_per_shard=7)
+    got = spread_join(left, right, keys, how, rows_per_shard=7)
     assert got.columns == wanted.columns
     assert rows(got) == rows(wanted)
 
@@ -50,21 +43,39 @@ def test_splitting_hot_keys_changes_no_row(skewed, how, keys):
 @pytest.mark.parametrize("how", ["left", "full"])
 def test_probing_base_tables_gives_the_same(skewed, how):
     left, right = skewed
-    got = spread_join(left, right, ["k", "j"], how, probes=[right], share=0.1, min_bytes=0, rows_per_shard=3)
+    got = spread_join(left, right, ["k", "j"], how, right_probes=[right], rows_per_shard=3)
     assert rows(got) == rows(left.join(right, ["k", "j"], how))
 
 
 def test_hot_keys_are_found_and_counted(skewed):
     left, right = skewed
-    hashes = sorted({*frequent_hashes(left, ["k", "j"], 0.15), *frequent_hashes(right, ["k", "j"], 0.15)})
-    assert key_counts(left, ["k", "j"], hashes) == {("hot", 1): 60, ("left", 1): 40}
-    assert key_counts(right, ["k", "j"], hashes) == {("hot", 1): 50, ("right", 1): 45}
+    assert hot_keys([left], [right], ["k", "j"], "full", 20) == {("hot", 1): (3, 3), ("left", 1): (2, 0), ("right", 1): (0, 3)}
+    assert hot_keys([left], [right], ["k", "j"], "left", 20) == {("hot", 1): (1, 3), ("right", 1): (1, 3)}
+    product = {tuple(r)[:2]: r[2] for r in key_rows([left, right], ["k", "j"], "n").collect()}
+    assert product["hot", 1] == 3000 and product["left", 1] == 40
+
+
+@pytest.mark.parametrize("how", ["left", "full"])
+def test_counts_never_decide_which_rows_result(skewed, how):
+    left, right = skewed
+    more = right.union(right).union(left.selectExpr("k", "j", "'x'"))  # counts keys that the right side lacks
+    got = spread_join(left, right, ["k", "j"], how, right_probes=[more], rows_per_shard=5)
+    assert rows(got) == rows(left.join(right, ["k", "j"], how))
+
+
+def test_a_joined_side_is_not_run_to_count_its_keys(spark, skewed):
+    left, right = skewed
+    ran = spark.sparkContext.accumulator(0)
+    counted = spark.createDataFrame(right.rdd.map(lambda r: (ran.add(1), tuple(r))[1]), right.schema)
+    joined = left.join(counted.select("k", "b"), "k")
+    spread_join(joined, right.drop("b"), ["k", "j"], "left", rows_per_shard=1)
+    assert ran.value == 0
 
 
 def test_even_keys_take_the_plain_join(spark):
     left, right = spark.range(2000).withColumnRenamed("id", "k"), spark.range(3000).withColumnRenamed("id", "k")
-    assert frequent_hashes(left, ["k"], 0.02) == []
-    got = spread_join(left, right, ["k"], "full", min_bytes=0)
+    assert hot_keys([left], [right], ["k"], "full", 10) == {}
+    got = spread_join(left, right, ["k"], "full")
     assert "_shards_left" not in got._jdf.queryExecution().toString()
     assert got.count() == 3000
 
@@ -89,7 +100,7 @@ def test_hot_rows_are_spread_over_tasks(spark):
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        joined = spread_join(left, right, ["k"], "left", min_bytes=0, rows_per_shard=100)
+        joined = spread_join(left, right, ["k"], "left", rows_per_shard=100)
         sizes = joined.rdd.glom().map(len).collect()
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
@@ -106,16 +117,9 @@ def test_key_types_must_agree(spark):
         spread_join(left, left, ["id"], "inner")
 
 
-def test_sketch_is_large_enough_for_the_share():
-    from tiers.operators.joins import SHARE, SKETCH_ITEMS
-
-    assert MAX_HOT_KEYS >= 1 / SHARE
-    assert 4 / SKETCH_ITEMS < SHARE / 10
-
+def test_registered_hot_keys_take_the_grid(spark):
+    from tiers.registry.queries import all_queries
 
-def test_scan_bytes_counts_the_files_behind_a_join(spark, tmp_path):
-    spark.range(1000).write.parquet(str(tmp_path / "t"))
-    df = spark.read.parquet(str(tmp_path / "t"))
-    size = scan_bytes(df)
-    assert 0 < size < 1 << 20
-    assert scan_bytes(df.join(df.withColumnRenamed("id", "x"), df.id == 1)) == 2 * size
+    for name in ("purchase_view_hot_key", "explore_outer_hot_key"):
+        plan = all_queries()[name](spark, "/root/testdata/sf0.01")._jdf.queryExecution().toString()
+        assert "_shards_left" in plan, name

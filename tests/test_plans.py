@@ -89,8 +89,8 @@ def test_gold_equals_the_literal_chain_of_full_joins(spark, seed):
     wanted = rows(gold_output_outer_form(**frames))
     assert sum(wanted.values()) > 5
     assert rows(gold_output(**frames)) == wanted
-    assert rows(gold_output(**frames, min_bytes=0, share=0.03, rows_per_shard=2)) == wanted
-    assert rows(gold_output_outer_form(**frames, min_bytes=0, share=0.03, rows_per_shard=2)) == wanted
+    assert rows(gold_output(**frames, rows_per_shard=2)) == wanted
+    assert rows(gold_output_outer_form(**frames, rows_per_shard=2)) == wanted
 
 
 def test_gold_consumer_id_as_a_number(spark):
@@ -103,7 +103,7 @@ def test_gold_consumer_id_as_a_number(spark):
 def test_views_do_not_depend_on_splitting_hot_keys(spark):
     feeds = text_feeds(spark)
     core = {name: df.drop("raw_file_name", "load_timestamp") for name, df in feeds.items()}
-    forced = {"min_bytes": 0, "share": 0.03, "rows_per_shard": 4}
+    forced = {"rows_per_shard": 4}
     assert rows(purchase_view(**feeds)) == rows(purchase_view(**feeds, **forced))
     assert rows(explore_outer(**core)) == rows(explore_outer(**core, **forced))
 

@@ -1,48 +1,29 @@
-"""Outer equi-joins which stay spread out when one key holds a large share of the rows.
+"""Outer equi-joins which stay spread out when one key holds very many rows.
 
 Adaptive execution splits an oversized left side of a left join by itself, but neither an oversized right
 side nor any side of a full join. ``spread_join`` covers those two:
 
 * rows with a NULL key match nothing, so in a full join they are dealt out over all tasks by an extra join
   column instead of meeting in one;
-* the sides are sketched in one column-pruned scan without a shuffle. A key above the share is laid out as
-  a grid: each side is dealt over its own number of shards and repeated over those of the other, so every
-  pair of rows meets in exactly one cell. Such a key is known to be on both sides, hence a row of it that
-  met nothing in its cell is only a repetition, and is dropped. All other keys have one cell. Each side
-  runs once, in a single join; without a hot key it is the plain join.
+* the rows of each key are counted first, in base tables and with columns pruned to the key. A key with more
+  rows than a task should get is laid out as a grid: each side is dealt over its own number of shards and
+  repeated over those of the other, so every pair of rows meets in exactly one cell. Rows are repeated only
+  for keys that the other side is seen to hold, within the same query; such a row matches in some cell, so
+  where it met nothing it is only a repetition, and is dropped. The counts decide the layout, never which
+  rows result. All other keys have one cell; without a hot key it is the plain join.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 from functools import reduce
-from operator import or_
+from operator import mul, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-NULL_SPREAD = 4096  # upper bound of tasks the NULL-key rows of one side are dealt over
-SKETCH_ITEMS = 10000  # counters held by the sketch; it can only overlook keys far below SHARE
-MAX_HOT_KEYS = 100
-SHARE = 0.02  # a key is hot when it holds more than this share of a side; at most 50 keys can
-MAX_SHARDS = 256
-ROWS_PER_SHARD = 2_000_000
-MIN_BYTES = 256 << 20  # inputs below this are joined plainly: no key of them can overload a task
-
-
-def scan_bytes(df: DataFrame) -> float:
-    """Bytes in the sources behind a frame, from file listings; infinite when Spark cannot say."""
-    try:
-        leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-        return float(sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())))
-    except AttributeError:  # a remote session exposes no plan statistics
-        return math.inf
-
-
-def _key_hash(keys: Sequence[str]) -> Column:
-    return F.xxhash64(*keys)
+ROWS_PER_SHARD = 2_000_000  # rows of one key that a task gets; a key with more is hot
 
 
 def _dealt(df: DataFrame) -> Column:
@@ -54,21 +35,35 @@ def _unknown(keys: Sequence[str]) -> Column:
     return reduce(or_, [F.col(k).isNull() for k in keys])
 
 
-def frequent_hashes(df: DataFrame, keys: Sequence[str], share: float) -> list[int]:
-    """Hashes of the keys that may hold more than ``share`` of the rows (a bounded handful)."""
-    known = df.dropna(subset=list(keys)).select(_key_hash(keys).alias("key_hash"))
-    sketch = known.agg(
-        F.expr(f"approx_top_k(key_hash, {MAX_HOT_KEYS}, {SKETCH_ITEMS})").alias("top"),
-        F.count(F.lit(1)).alias("row_count"),
-    ).first()
-    # Estimates may vary with the order of arrival; they decide how rows are laid out, never which rows result.
-    return [item["item"] for item in sketch["top"] or [] if item["count"] > share * sketch["row_count"]]
+def _null_cells(df: DataFrame) -> int:
+    """Cells for rows that match nothing: some to each task, so that tasks get about as many."""
+    return 32 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def key_rows(probes: Sequence[DataFrame], keys: Sequence[str], name: str) -> DataFrame:
+    """Rows of each key in an outer join of the probes: the product of its counts."""
+    counts = [
+        df.dropna(subset=list(keys)).groupBy(*keys).agg(F.count(F.lit(1)).cast("double").alias(f"_rows_{i}"))
+        for i, df in enumerate(probes)
+    ]
+    joined = reduce(lambda a, b: a.join(b, list(keys), "full"), counts)
+    product = reduce(mul, [F.coalesce(f"_rows_{i}", F.lit(1.0)) for i in range(len(counts))])
+    return joined.select(*keys, product.alias(name))
 
 
-def key_counts(df: DataFrame, keys: Sequence[str], hashes: Sequence[int]) -> dict[tuple, int]:
-    """Exact row counts of the keys with these hashes."""
-    hot = df.dropna(subset=list(keys)).filter(_key_hash(keys).isin(list(hashes)))
-    return {tuple(row)[:-1]: row[-1] for row in hot.groupBy(*keys).agg(F.count(F.lit(1))).collect()}
+def hot_keys(
+    left: Sequence[DataFrame], right: Sequence[DataFrame], keys: Sequence[str], how: str, rows_per_shard: int
+) -> dict[tuple, tuple[int, int]]:
+    """Shards of either side for each hot key; their number is bounded by all rows over the rows of a shard."""
+    rows = key_rows(right, keys, "_right")
+    if how == "full":
+        rows = key_rows(left, keys, "_left").join(rows, list(keys), "full").fillna(0.0, ["_left", "_right"])
+    else:
+        # The left side of a left join is split anyway.
+        rows = rows.withColumn("_left", F.lit(1.0))
+    shards = [F.ceil(F.col(side) / rows_per_shard).cast("int") for side in ("_left", "_right")]
+    hot = rows.where(F.greatest("_left", "_right") > rows_per_shard).select(*keys, *shards).collect()
+    return {tuple(row)[:-2]: tuple(row)[-2:] for row in hot}
 
 
 def plain_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
@@ -77,14 +72,19 @@ def plain_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str)
         return left.join(right, list(keys), how)
 
     def spread(df: DataFrame) -> DataFrame:
-        cell = F.when(_unknown(keys), F.pmod(_dealt(df), F.lit(NULL_SPREAD))).otherwise(F.lit(0))
+        cell = F.when(_unknown(keys), F.pmod(_dealt(df), F.lit(_null_cells(df)))).otherwise(F.lit(0))
         return df.withColumn("_cell", cell)
 
     return spread(left).join(spread(right), [*keys, "_cell"], "full").drop("_cell")
 
 
 def grid_join(
-    left: DataFrame, right: DataFrame, keys: Sequence[str], how: str, hot: dict[tuple, tuple[int, int]]
+    left: DataFrame,
+    right: DataFrame,
+    keys: Sequence[str],
+    how: str,
+    hot: dict[tuple, tuple[int, int]],
+    left_probes: Sequence[DataFrame],
 ) -> DataFrame:
     """Join with the hot keys laid out as grids; ``hot`` holds the numbers of shards of either side.
 
@@ -94,21 +94,31 @@ def grid_join(
     fields += [T.StructField(f"_shards_{side}", T.IntegerType()) for side in ("left", "right")]
     grid = F.broadcast(left.sparkSession.createDataFrame([(*k, *n) for k, n in hot.items()], T.StructType(fields)))
 
-    def lay_out(df: DataFrame, own: str, other: str) -> DataFrame:
+    def held(frames: Sequence[DataFrame]) -> DataFrame:
+        """The hot keys that really occur in the frames: no more rows than the grid has."""
+        found = reduce(DataFrame.union, [df.select(*keys).join(grid.select(*keys), list(keys), "left_semi") for df in frames])
+        return F.broadcast(found.distinct().withColumn("_held", F.lit(True)))
+
+    def lay_out(df: DataFrame, own: str, other: str, across: DataFrame | None) -> DataFrame:
         known = df.withColumn("_dealt", _dealt(df)).join(grid, list(keys), "left")
+        known = known.withColumn("_held", F.lit(None).cast("boolean")) if across is None else known.join(across, list(keys), "left")
         shards, repeats = F.col(f"_shards_{own}"), F.col(f"_shards_{other}")
         dealt = F.when(shards > 0, F.pmod("_dealt", shards)).otherwise(F.lit(0))
         if how == "full":
-            dealt = F.when(_unknown(keys), F.pmod("_dealt", F.lit(NULL_SPREAD))).otherwise(dealt)
+            dealt = F.when(_unknown(keys), F.pmod("_dealt", F.lit(_null_cells(df)))).otherwise(dealt)
+        cells = F.when(F.col("_held"), F.greatest(repeats, F.lit(1))).otherwise(F.lit(1))
         return known.select(
             *df.columns,
-            F.coalesce((shards > 0) & (repeats > 0), F.lit(False)).alias(f"_hot_{own}"),
+            F.coalesce("_held", F.lit(False)).alias(f"_hot_{own}"),
             dealt.cast("int").alias(f"_cell_{own}"),
-            F.explode(F.sequence(F.lit(0), F.greatest(repeats, F.lit(1)) - 1)).alias(f"_cell_{other}"),
+            F.explode(F.sequence(F.lit(0), cells - 1)).alias(f"_cell_{other}"),
         )
 
-    joined = lay_out(left, "left", "right").join(
-        lay_out(right, "right", "left"), [*keys, "_cell_left", "_cell_right"], how
+    joined = lay_out(left, "left", "right", held([right])).join(
+        # A left join has one shard on the left, so the right side is never repeated.
+        lay_out(right, "right", "left", held(left_probes) if how == "full" else None),
+        [*keys, "_cell_left", "_cell_right"],
+        how,
     )
     on_left, on_right = F.col("_hot_left"), F.col("_hot_right")
     repetition = (on_left & on_right.isNull()) | (on_right & on_left.isNull())
@@ -116,41 +126,27 @@ def grid_join(
     return joined.filter(~F.coalesce(repetition, F.lit(False))).drop(*helpers)
 
 
-def _shards(rows: int, rows_per_shard: int) -> int:
-    return min(MAX_SHARDS, math.ceil(rows / rows_per_shard))
-
-
 def spread_join(
     left: DataFrame,
     right: DataFrame,
     keys: Sequence[str],
     how: str = "left",
-    probes: Sequence[DataFrame] | None = None,
-    share: float = SHARE,
-    min_bytes: float = MIN_BYTES,
+    left_probes: Sequence[DataFrame] | None = None,
+    right_probes: Sequence[DataFrame] | None = None,
     rows_per_shard: int = ROWS_PER_SHARD,
 ) -> DataFrame:
     """``left`` or ``full`` equi-join on named columns that no hot key can pile up in one task.
 
-    Hot keys are looked for in the probes: by default the right side, for a full join both. Pass the
-    base tables where a side is itself a join, so that the search does not run that join.
+    Rows of a key are counted in the probes, by default the sides themselves. Pass the base tables where a
+    side is itself a join, so that counting does not run that join; those of the left side of a full join
+    have to hold exactly its keys.
     """
     if how not in ("left", "full"):
         raise ValueError(f"unsupported join type: {how}")
     if any(left.schema[k].dataType != right.schema[k].dataType for k in keys):
         raise ValueError("join columns must have the same type on both sides")
-    if max(scan_bytes(left), scan_bytes(right)) >= min_bytes:
-        if probes is None:
-            probes = [right] if how == "left" else [left, right]
-        hashes = sorted({h for df in probes for h in frequent_hashes(df, keys, share)})
-        if hashes:
-            on_right = key_counts(right, keys, hashes)
-            # A left join needs no grid for keys lacking on the right, and its left side is split anyway.
-            on_left = key_counts(left, keys, hashes) if how == "full" else dict.fromkeys(on_right, 1)
-            hot = {
-                key: tuple(_shards(side.get(key, 0), rows_per_shard) for side in (on_left, on_right))
-                for key in on_left | on_right
-            }
-            if hot:
-                return grid_join(left, right, keys, how, hot)
+    left_probes, right_probes = left_probes or [left], right_probes or [right]
+    hot = hot_keys(left_probes, right_probes, keys, how, rows_per_shard)
+    if hot:
+        return grid_join(left, right, keys, how, hot, left_probes)
     return plain_join(left, right, keys, how)

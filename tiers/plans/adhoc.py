@@ -47,8 +47,8 @@ def purchase_view(
     )
     bought = required_ok(typed_projection(purchase, PURCHASE), PURCHASE_KEY).select(*PURCHASE_KEY)
     rows = spread_join(bought, buyers, ["consumerid"], **spread)
-    # Looking for hot keys needs no deduplicated rows.
-    rows = spread_join(rows, treatments, PURCHASE_KEY, probes=[typed_projection(fertilizer, FERTILIZER)], **spread)
+    # Counting keys needs no deduplicated rows.
+    rows = spread_join(rows, treatments, PURCHASE_KEY, right_probes=[typed_projection(fertilizer, FERTILIZER)], **spread)
     rows = spread_join(rows, fruits, PURCHASE_KEY, **spread)
     return rows.select(
         "consumerid",
@@ -71,9 +71,9 @@ def explore_outer(
     avocado = _own_names(avocado, "avocado", purchase)
     fertilizer = _own_names(fertilizer, "fertilizer", purchase)
     rows = spread_join(consumer, purchase, ["consumerid"], "full", **spread)
-    rows = spread_join(rows, avocado, ["purchaseid"], "full", probes=[purchase, avocado], **spread)
+    rows = spread_join(rows, avocado, ["purchaseid"], "full", left_probes=[purchase], **spread)
     return spread_join(
-        rows, fertilizer, ["purchaseid"], "full", probes=[purchase, avocado, fertilizer], **spread
+        rows, fertilizer, ["purchaseid"], "full", left_probes=[purchase, avocado], **spread
     )
 
 

@@ -62,8 +62,8 @@ def gold_output_outer_form(
     treatments = fertilizer.select(*PURCHASE_KEY, F.col("type").alias("fertilizer_type"))
     bought = purchase.select(*PURCHASE_KEY)
     rows = spread_join(consumer.select("consumerid", "sex", "age"), bought, ["consumerid"], "full", **spread)
-    rows = spread_join(rows, fruits, PURCHASE_KEY, "full", probes=[bought, fruits], **spread)
-    rows = spread_join(rows, treatments, PURCHASE_KEY, "full", probes=[fruits, treatments], **spread)
+    rows = spread_join(rows, fruits, PURCHASE_KEY, "full", left_probes=[bought], **spread)
+    rows = spread_join(rows, treatments, PURCHASE_KEY, "full", left_probes=[bought, fruits], **spread)
     return _finish(positive_durations(rows), consumer_id_type)
 
 

@@ -386,6 +386,12 @@ def all_oracles() -> dict[str, str]:
         "select * replace (case when length(purchaseid) % 2 = 0 then fertilizerid || '.0' else ' ' || fertilizerid end "
         f"as fertilizerid) from ({FEED_SQL['fertilizer']})"
     )
+    changed = "case when ends_with(purchaseid, '250') then '{0}' else {1} end as {1}"
+    hot = {
+        f"bz_{name}": f"select * replace ({changed.format('250', 'purchaseid')}, {changed.format('hot', 'consumerid')}) "
+        f"from ({FEED_SQL[name]})"
+        for name in ("avocado", "fertilizer", "purchase")
+    }
     sql = {
         "scan_csv_text": with_feeds(f"select {business(avocado)} from bz_avocado", "avocado"),
         "ingest_metadata": with_feeds(
@@ -474,6 +480,10 @@ def all_oracles() -> dict[str, str]:
         "purchase_view": with_feeds(purchase_view()),
         "purchase_view_mixed_ids": with_feeds(purchase_view(), bz_fertilizer=mixed),
         "explore_outer": with_feeds(EXPLORE),
+        "purchase_view_hot_key": with_feeds(purchase_view(), **hot),
+        "explore_outer_hot_key": with_feeds(
+            f"select purchaseid, sex, type, plu, count(*) as row_count from ({EXPLORE}) group by all", **hot
+        ),
         "gold_output": with_feeds(gold(), **silver()),
         "gold_output_numbered": with_feeds(gold(consumer_id=whole("a.consumerid", "bigint")), **silver()),
         "gold_output_outer_form": with_feeds(GOLD_OUTER, **silver()),

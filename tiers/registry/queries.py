@@ -303,6 +303,26 @@ def mixed_ids(spark: SparkSession, folder: str) -> DataFrame:
     return purchase_view(**{**feeds, "fertilizer": feeds["fertilizer"].withColumn("fertilizerid", written)})
 
 
+def _with_hot_key(feeds: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """All purchases whose id ends in 250 become one, of one consumer."""
+    changed = F.col("purchaseid").endswith("250")
+    for name in ("avocado", "fertilizer", "purchase"):
+        values = {"purchaseid": "250", "consumerid": "hot"}
+        feeds[name] = feeds[name].withColumns({c: F.when(changed, v).otherwise(F.col(c)) for c, v in values.items()})
+    return feeds
+
+
+def hot_purchases(spark: SparkSession, folder: str) -> DataFrame:
+    return purchase_view(**_with_hot_key(_feeds(spark, folder)), rows_per_shard=5)
+
+
+def hot_everything(spark: SparkSession, folder: str) -> DataFrame:
+    feeds = {name: _business(df) for name, df in _with_hot_key(_feeds(spark, folder)).items()}
+    rows = explore_outer(**feeds, rows_per_shard=5)
+    # The key's purchases, avocados and fertilizers multiply, so they are counted by what they consist of.
+    return rows.groupBy("purchaseid", "sex", "type", "plu").agg(F.count(F.lit(1)).alias("row_count"))
+
+
 def everything(spark: SparkSession, folder: str) -> DataFrame:
     return explore_outer(**{name: _business(df) for name, df in _feeds(spark, folder).items()})
 
@@ -460,6 +480,8 @@ def all_queries() -> dict[str, Query]:
         "purchase_view": purchases,
         "purchase_view_mixed_ids": mixed_ids,
         "explore_outer": everything,
+        "purchase_view_hot_key": hot_purchases,
+        "explore_outer_hot_key": hot_everything,
         "gold_output": gold,
         "gold_output_numbered": gold_numbered,
         "gold_output_outer_form": gold_outer_form,
