@@ -123,3 +123,10 @@ def test_registered_hot_keys_take_the_grid(spark):
     for name in ("purchase_view_hot_key", "explore_outer_hot_key"):
         plan = all_queries()[name](spark, "/root/testdata/sf0.01")._jdf.queryExecution().toString()
         assert "_shards_left" in plan, name
+
+
+def test_a_hot_left_side_is_split_if_asked_for(spark, skewed):
+    left, right = skewed
+    one_each = right.dropDuplicates(["k"]).drop("j")
+    got = spread_join(left, one_each, ["k"], "left", rows_per_shard=7, split_left=True)
+    assert rows(got) == rows(left.join(one_each, ["k"], "left"))

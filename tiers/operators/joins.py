@@ -85,6 +85,7 @@ def grid_join(
     how: str,
     hot: dict[tuple, tuple[int, int]],
     left_probes: Sequence[DataFrame],
+    split_left: bool = False,
 ) -> DataFrame:
     """Join with the hot keys laid out as grids; ``hot`` holds the numbers of shards of either side.
 
@@ -115,8 +116,8 @@ def grid_join(
         )
 
     joined = lay_out(left, "left", "right", held([right])).join(
-        # A left join has one shard on the left, so the right side is never repeated.
-        lay_out(right, "right", "left", held(left_probes) if how == "full" else None),
+        # With one shard on the left the right side is never repeated.
+        lay_out(right, "right", "left", held(left_probes) if how == "full" or split_left else None),
         [*keys, "_cell_left", "_cell_right"],
         how,
     )
@@ -134,19 +135,21 @@ def spread_join(
     left_probes: Sequence[DataFrame] | None = None,
     right_probes: Sequence[DataFrame] | None = None,
     rows_per_shard: int = ROWS_PER_SHARD,
+    split_left: bool = False,
 ) -> DataFrame:
     """``left`` or ``full`` equi-join on named columns that no hot key can pile up in one task.
 
     Rows of a key are counted in the probes, by default the sides themselves. Pass the base tables where a
     side is itself a join, so that counting does not run that join; those of the left side of a full join
-    have to hold exactly its keys.
+    have to hold exactly its keys. ``split_left`` also lays out hot keys of the left side of a left join, which
+    adaptive execution cannot split where the right side is read in buckets.
     """
     if how not in ("left", "full"):
         raise ValueError(f"unsupported join type: {how}")
     if any(left.schema[k].dataType != right.schema[k].dataType for k in keys):
         raise ValueError("join columns must have the same type on both sides")
     left_probes, right_probes = left_probes or [left], right_probes or [right]
-    hot = hot_keys(left_probes, right_probes, keys, how, rows_per_shard)
+    hot = hot_keys(left_probes, right_probes, keys, "full" if split_left else how, rows_per_shard)
     if hot:
-        return grid_join(left, right, keys, how, hot, left_probes)
+        return grid_join(left, right, keys, how, hot, left_probes, split_left)
     return plain_join(left, right, keys, how)

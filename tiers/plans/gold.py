@@ -37,15 +37,17 @@ def gold_output(
     Only avocados with positive durations can contribute, so the plan starts from those and looks the
     rest up. Purchase and fertilizer share the avocado's key and join without moving it again; the
     consumer joins last, on the key by which equal output rows already lie together, so removing
-    duplicates needs no further shuffle. A consumer counts only through an existing purchase.
+    duplicates needs no further shuffle, unless avocados of a consumer with very many are split up for
+    it. A consumer counts only through an existing purchase.
     """
     fruits = positive_durations(day_counts(avocado)).select(*PURCHASE_KEY, *FRUIT)
     bought = purchase.select(*PURCHASE_KEY, F.lit(True).alias("bought"))
     treatments = fertilizer.select(*PURCHASE_KEY, F.col("type").alias("fertilizer_type"))
-    buyers = consumer.select(F.col("consumerid").alias("buyer"), "sex", "age")
+    buyers = consumer.select("consumerid", "sex", "age")
     rows = fruits.join(bought, PURCHASE_KEY, "left")
     rows = spread_join(rows, treatments, PURCHASE_KEY, **spread)
-    rows = rows.join(buyers, (F.col("consumerid") == F.col("buyer")) & F.col("bought"), "left")
+    rows = spread_join(rows, buyers, ["consumerid"], left_probes=[fruits], split_left=True, **spread)
+    rows = rows.withColumns({c: F.when(F.col("bought"), F.col(c)) for c in ("sex", "age")})
     return _finish(rows, consumer_id_type)
 
 
