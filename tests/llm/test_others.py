@@ -211,3 +211,16 @@ def test_main_text(spark):
     assert all(texts[100 + i] == f"Body {i} More {i}" for i in range(12))
     assert texts[200] == texts[201] == "" and texts[202] == "plain & text" and texts[203] == "deep" and texts[None] == "no id"
     assert htmltext.main_text(pages_of(spark).where("false")).count() == 0
+
+
+def test_style_tree_judges_every_page(spark):
+    """Repeated branches go from declared articles as well; copies of a page do not make its text a repeated branch."""
+    article = "<article><div class='box'><p>Read more of us</p></div><p>Words {i}</p></article>"
+    rows = [(i, "http://a.example/", SITE.replace("{main}", article).replace("{i}", str(i))) for i in range(12)]
+    rows += [(100 + i, "http://b.example/", SITE.replace("{main}", "<article><p>Copied</article>").replace("{i}", "0")) for i in range(40)]
+    rows += [(200 + i, "http://b.example/", SITE.replace("{main}", "<article><p>Own {i}</article>").replace("{i}", str(i))) for i in range(9)]
+    texts = {r.page_id: r.text for r in htmltext.main_text(pages_of(spark, rows)).collect()}
+    assert all(texts[i] == f"Words {i}" for i in range(12))
+    assert all(texts[100 + i] == "Copied" for i in range(40)) and all(texts[200 + i] == f"Own {i}" for i in range(9))
+    tree = htmltext.style_tree(htmltext.nodes(pages_of(spark, rows))).collect()
+    assert sorted((r.blocks, round(r.importance, 6)) for r in tree) == [(10, 1.0), (12, 0.0), (12, 1.0)]

@@ -1,11 +1,14 @@
 """Main text of pages by site style trees.
 
 Each page is parsed into blocks of text, each with its path: the block elements above it with their classes and ids. The
-pages of a host are merged into one tree of paths. A path's importance is how much its content varies over the pages:
-the entropy of the contents found there, as a part of the greatest it could have. Branches of low importance (menus,
-notices and the like, which repeat) are removed from every page of the host. Presentation counts as well: elements that
-declare themselves navigation, advert, form, comment and so on are removed, and where a page declares its article, the text
-is taken from there and entropy, which copied articles would mislead, has no say inside it.
+pages of a host are merged into one tree of paths, copies of a page once. A path has two kinds of node: the contents found
+there and their presentations (the inline elements in them). How much either varies over the pages, the entropy as a part
+of the greatest it could have, is its importance, and the path has the greater of the two. Branches of low importance
+(menus, notices and the like, which repeat) are removed from every page of the host, inside a declared article as well.
+Presentation counts beforehand too: elements that declare themselves navigation, advert, form, comment and so on stay out
+of the tree, and where a page declares its article, the text is what remains of that.
+
+Pages are parsed twice, once for the tree and once for the text, so only hashes of blocks are moved and not their texts.
 """
 
 from __future__ import annotations
@@ -13,14 +16,15 @@ from __future__ import annotations
 import re
 from html.parser import HTMLParser
 
+import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tiers.llm.common import keep
 
-#: A path is judged by its contents from this many blocks on; below this share of the greatest entropy it goes.
+#: A path is judged from this many blocks on; below this share of the greatest entropy it goes.
 LEAST_BLOCKS, LEAST_ENTROPY = 8, 0.3
 #: Characters of a path; what is deeper counts with the branch above it.
 PATH_CHARS = 500
@@ -53,21 +57,23 @@ CLOSES = {
 
 
 class Blocks(HTMLParser):
-    """Collects (path, standing, text); standing: 0 none, 1 main by its class, 2 article or main. Noise is left out."""
+    """Collects (path, standing, text, inline tags); standing: 0 none, 1 main by its class, 2 article or main. No noise."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.open: list[tuple[str, str, bool, int]] = []  # tag, path, noise, standing
-        self.found: list[tuple[str, int, str]] = []
+        self.found: list[tuple[str, int, str, str]] = []
         self.text: list[str] = []
+        self.marks: list[str] = []
 
     def end_block(self) -> None:
-        text = " ".join("".join(self.text).split())
+        text, marks = " ".join("".join(self.text).split()), " ".join(self.marks)
         self.text.clear()
+        self.marks.clear()
         if text:
             _, path, noise, standing = self.open[-1] if self.open else ("", "", False, 0)
             if not noise:
-                self.found.append((path, standing, text))
+                self.found.append((path, standing, text, marks))
 
     def pop_to(self, i: int) -> None:
         self.end_block()
@@ -80,6 +86,8 @@ class Blocks(HTMLParser):
             return
         _, path, noise, standing = self.open[-1] if self.open else ("", "", False, 0)
         plain = not attrs
+        if tag in INLINE and not noise:
+            self.marks.append(tag)
         if tag in INLINE and plain:
             self.open.append((tag, path, noise, standing))
             return
@@ -139,14 +147,17 @@ class Blocks(HTMLParser):
             self.text.append(data)
 
 
-def blocks(html: str | None) -> list[tuple[str, int, str]]:
+def blocks(html: str | None) -> list[tuple[str, int, str, str]]:
     parser = Blocks()
     # A tag that the end of the page cuts off is no text.
     parser.feed(re.sub(r"<[a-zA-Z/!?][^<>]*\Z", "", html or ""))
     parser.close()
     parser.end_block()
-    best = max((s for _, s, _ in parser.found), default=0)
-    return [b for b in parser.found if b[1] == best]
+    return parser.found
+
+
+def hashed(text: str) -> int:
+    return xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass"))
 
 
 HOST = "coalesce(lower(regexp_extract(url, '^[^:]*://([^/?#]*)', 1)), '')"
@@ -157,61 +168,34 @@ def inputs(pages: DataFrame) -> DataFrame:
     return pages.select(*cast).select("page_id", "url", F.expr(HOST).alias("host"), "html")
 
 
-def batched(rows, names, kinds, most=2000):
-    """Record batches of some rows each."""
-    held = []
-    for row in rows:
-        held.append(row)
-        if len(held) == most:
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*held, strict=True), kinds, strict=True)], names)
-            held = []
-    if held:
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*held, strict=True), kinds, strict=True)], names)
-
-
-def rows_of(batches):
-    for batch in batches:
-        for page_id, url, host, html in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-            yield page_id, url, host, blocks(html)
-
-
-def declared(pages: DataFrame) -> DataFrame:
-    """page_id, url, text of the pages that say what their article is; the tree has no say in them."""
+def nodes(pages: DataFrame) -> DataFrame:
+    """A row per block: host, and 64-bit hashes of path, content, presentation and of the texts of the whole page."""
 
     def run(batches):
-        texts = ((i, u, " ".join(t for _, _, t in found)) for i, u, _, found in rows_of(batches) if found and found[0][1] == 2)
-        yield from batched(texts, ["page_id", "url", "text"], [pa.int64(), pa.string(), pa.string()])
-
-    return inputs(pages).mapInArrow(run, "page_id long, url string, text string")
-
+        for batch in batches:
+            hosts, values = [], []
+            for host, html in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                found = blocks(html)
+                page = hashed("\n".join(text for _, _, text, _ in found))
+                for path, _, text, marks in found:
+                    hosts.append(host)
+                    values.append((hashed(path), hashed(text), hashed(marks), page))
+            table = np.array(values, np.uint64).reshape(-1, 4).view(np.int64)
+            columns = [pa.array(hosts, pa.string()), *(pa.array(np.ascontiguousarray(c)) for c in table.T)]
+            yield pa.RecordBatch.from_arrays(columns, ["host", "path", "content", "marks", "page"])
 
-def parsed(pages: DataFrame) -> DataFrame:
-    """Of all other pages a row each (block -1, without text) and one per block; `page` numbers the pages."""
-
-    def rows(batches):
-        count = TaskContext.get().partitionId() << 40
-        for page_id, url, host, found in rows_of(batches):
-            count += 1
-            if not found or found[0][1] < 2:
-                yield count, -1, page_id, url, host, None, None
-                for i, (path, _, text) in enumerate(found):
-                    yield count, i, None, None, host, path, text
-
-    def run(batches):
-        kinds = [pa.int64(), pa.int32(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.string()]
-        yield from batched(rows(batches), ["page", "block", "page_id", "url", "host", "path", "text"], kinds)
-
-    return inputs(pages).mapInArrow(run, "page long, block int, page_id long, url string, host string, path string, text string")
+    return inputs(pages).select("host", "html").mapInArrow(run, "host string, path long, content long, marks long, page long")
 
 
 def style_tree(found: DataFrame) -> DataFrame:
-    """host, path, blocks, importance (0 to 1) of every path outside declared articles."""
-    outside = found.where("block >= 0")
-    contents = outside.groupBy("host", "path", F.xxhash64("text").alias("content")).agg(F.count("*").alias("n"))
-    paths = contents.groupBy("host", "path").agg(F.sum("n").alias("blocks"), F.sum(F.col("n") * F.log2("n")).alias("known"))
+    """host, path (its hash), blocks, importance (0 to 1) of every path; pages with the same texts count once."""
+    once = found.distinct().groupBy("host", "path", "content", "marks").agg(F.count("*").alias("n"))
+    kinds = F.explode(F.array(*[F.struct(F.lit(c).alias("kind"), F.col(c).alias("value")) for c in ("content", "marks")]))
+    each = once.select("host", "path", kinds.alias("node"), "n").groupBy("host", "path", "node").agg(F.sum("n").alias("n"))
+    kind = each.groupBy("host", "path", "node.kind").agg(F.sum("n").alias("blocks"), F.sum(F.col("n") * F.log2("n")).alias("known"))
     greatest = F.log2("blocks")
     importance = F.when(F.col("blocks") > 1, (greatest - F.col("known") / F.col("blocks")) / greatest).otherwise(F.lit(1.0))
-    return paths.select("host", "path", "blocks", importance.alias("importance"))
+    return kind.groupBy("host", "path").agg(F.max("blocks").alias("blocks"), F.max(importance).alias("importance"))
 
 
 def main_text(pages: DataFrame, least: float = LEAST_ENTROPY, many: int = LEAST_BLOCKS) -> DataFrame:
@@ -219,15 +203,22 @@ def main_text(pages: DataFrame, least: float = LEAST_ENTROPY, many: int = LEAST_
 
     A page without text, or with NULL html, has an empty one. Pages with NULL url, or without a host, share one tree.
     White space is what Unicode calls so. Equal rows are pages of their own.
+
+    The branches to remove are written and joined by host. Spark broadcasts them while they are small and else moves the
+    pages, where adaptive execution cuts up a host with very many.
     """
-    found = keep(parsed(pages), "pages")
-    low = style_tree(found).where((F.col("blocks") >= many) & (F.col("importance") < least)).select("host", "path")
-    kept = found.where("block < 0").unionByName(found.where("block >= 0").join(low, ["host", "path"], "left_anti"))
-    texts = kept.groupBy("page").agg(
-        F.max("page_id").alias("page_id"),
-        F.max("url").alias("url"),
-        F.array_sort(F.collect_list(F.when(F.col("block") >= 0, F.struct("block", "text")))).alias("blocks"),
-    )
-    text = F.array_join(F.transform("blocks", lambda b: b["text"]), " ")
-    whole = texts.select("page_id", "url", text.alias("text")).unionByName(declared(pages))
-    return whole.withColumn("n_chars", F.length("text").cast("long"))
+    low = style_tree(nodes(pages)).where((F.col("blocks") >= many) & (F.col("importance") < least))
+    low = keep(low.groupBy("host").agg(F.collect_set("path").alias("low")), "branches")
+
+    def run(batches):
+        for batch in batches:
+            ids, urls, pages_, lows = batch.columns
+            texts = []
+            for html, gone in zip(pages_.to_pylist(), lows.to_pylist(), strict=True):
+                found, gone = blocks(html), {x & (1 << 64) - 1 for x in gone or ()}
+                best = max((standing for _, standing, _, _ in found), default=0)
+                texts.append(" ".join(t for p, standing, t, _ in found if standing == best and not (gone and hashed(p) in gone)))
+            yield pa.RecordBatch.from_arrays([ids, urls, pa.array(texts, pa.string())], ["page_id", "url", "text"])
+
+    judged = inputs(pages).join(low, "host", "left").select("page_id", "url", "html", "low")
+    return judged.mapInArrow(run, "page_id long, url string, text string").withColumn("n_chars", F.length("text").cast("long"))
