@@ -26,11 +26,13 @@ def run(
     since=None,
     buckets: int | None = None,
     consumer_id_type: str = "string",
+    incremental: bool = True,
 ) -> str:
     """Take in what has arrived and refresh every table; returns the name of the gold table.
 
     ``prefix`` goes in front of the schema names bronze, silver and gold; ``location`` is the folder for
-    them where the warehouse folder is not to be used.
+    them where the warehouse folder is not to be used. Silver goes on from the load times it holds, unless
+    ``incremental`` is false; load times must not fall from run to run.
     """
     bronze, silver, gold = (f"{prefix}{layer}" for layer in LAYERS)
     for schema in (bronze, silver, gold):
@@ -39,7 +41,7 @@ def run(
     def refresh(name: str) -> None:
         raw, clean = f"{bronze}.{name}", f"{silver}.{name}"
         ingest(spark, SPECS[name], folders[name], raw, checkpoint_root, now)
-        silver_refresh(spark, SPECS[name], raw, clean, f"{clean}_rejects", now, since, buckets)
+        silver_refresh(spark, SPECS[name], raw, clean, f"{clean}_rejects", now, since, buckets, incremental)
 
     # The feeds do not depend on each other, so their jobs share the cluster.
     with ThreadPoolExecutor(len(folders)) as pool:

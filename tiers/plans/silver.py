@@ -30,6 +30,21 @@ def rejected_rows(bronze: DataFrame, spec: EntitySpec) -> DataFrame:
     return rejects(validate(marked, spec.typed_schema, keep=[REJECT_ID]), spec.required)
 
 
+def last_load(spark: SparkSession, table: str) -> int | None:
+    """Latest load time in a table, in microseconds since 1970; NULL if there is none."""
+    if not spark.catalog.tableExists(table):
+        return None
+    return spark.table(table).agg(F.unix_micros(F.max(LOAD_TIMESTAMP))).first()[0]
+
+
+def loaded_from(bronze: DataFrame, micros: int | None) -> DataFrame:
+    """Rows loaded at that time or later, or at an unknown time."""
+    if micros is None:
+        return bronze
+    loaded = F.col(LOAD_TIMESTAMP)
+    return bronze.filter((loaded >= F.timestamp_micros(F.lit(micros))) | loaded.isNull())
+
+
 def silver_refresh(
     spark: SparkSession,
     spec: EntitySpec,
@@ -39,11 +54,13 @@ def silver_refresh(
     now=None,
     since=None,
     buckets: int | None = None,
+    incremental: bool = False,
 ) -> None:
     """Bring one silver table and its reject log up to date with bronze.
 
     Reads all of bronze, or only rows loaded after ``since``; given growing load times both end in the
-    same silver rows. Clean and rejected rows come from two scans on purpose: the second is a filter with
+    same silver rows. ``incremental`` goes on, for either table by itself, from the latest load time that
+    it holds, that time included: what a run that broke off had not written yet is read again. Clean and rejected rows come from two scans on purpose: the second is a filter with
     no shuffle, which costs less than caching a bronze table would.
     """
     tune(spark)
@@ -51,7 +68,10 @@ def silver_refresh(
     if since is not None:
         bronze = bronze.filter(F.col(LOAD_TIMESTAMP) > F.lit(since).cast("timestamp"))
     stamp = load_time(now)
-    clean = clean_rows(bronze, spec).withColumn(UPDATED_AT, stamp)
+    fresh, failed = bronze, bronze
+    if incremental:
+        fresh, failed = (loaded_from(bronze, last_load(spark, table)) for table in (silver_table, reject_table))
+    clean = clean_rows(fresh, spec).withColumn(UPDATED_AT, stamp)
     deduplicated = set(spec.primary_key) <= set(spec.merge_key)
     upsert(spark, silver_table, clean, spec.merge_key, buckets, known_unique=deduplicated)
-    append_rejects(spark, reject_table, rejected_rows(bronze, spec).withColumn(UPDATED_AT, stamp))
+    append_rejects(spark, reject_table, rejected_rows(failed, spec).withColumn(UPDATED_AT, stamp))

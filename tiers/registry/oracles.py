@@ -7,7 +7,8 @@ from tiers.specs import SPECS, EntitySpec
 
 FEED_SQL = {
     "consumer": """
-select case when c_custkey % 97 = 0 then null else cast(c_custkey as varchar) end as consumerid,
+select case when c_custkey % 97 = 0 then null when c_custkey % 89 = 0 then 'C-' || cast(c_custkey as varchar)
+            else cast(c_custkey as varchar) end as consumerid,
        case when c_custkey % 2 = 0 then 'F' else 'M' end as sex,
        c_mktsegment as ethnicity,
        cast(c_nationkey as varchar) as race,
@@ -18,7 +19,8 @@ select case when c_custkey % 97 = 0 then null else cast(c_custkey as varchar) en
 from customer""",
     "purchase": """
 select case when o_orderkey % 211 = 0 then null else cast(o_orderkey as varchar) end as purchaseid,
-       case when o_orderkey % 101 = 0 then null else cast(o_custkey as varchar) end as consumerid,
+       case when o_orderkey % 101 = 0 then null when o_custkey % 89 = 0 then 'C-' || cast(o_custkey as varchar)
+            else cast(o_custkey as varchar) end as consumerid,
        cast(cast(o_orderdate as date) as varchar) as graphed_date,
        cast(o_orderkey % 1000 as varchar) as avocado_bunch_id,
        case when o_orderkey % 53 = 0 then 'n/a' else cast(year(o_orderdate) as varchar) end as reporting_year,
@@ -30,7 +32,8 @@ select case when o_orderkey % 211 = 0 then null else cast(o_orderkey as varchar)
        timestamp '2024-01-01 00:00:00' as load_timestamp
 from orders""",
     "avocado": """
-select case when l_orderkey % 103 = 0 then null else cast(o_custkey as varchar) end as consumerid,
+select case when l_orderkey % 103 = 0 then null when o_custkey % 89 = 0 then 'C-' || cast(o_custkey as varchar)
+            else cast(o_custkey as varchar) end as consumerid,
        cast(l_orderkey as varchar) as purchaseid,
        cast(l_suppkey as varchar) as avocado_bunch_id,
        cast(l_partkey as varchar) as plu,
@@ -43,15 +46,18 @@ select case when l_orderkey % 103 = 0 then null else cast(o_custkey as varchar)
 from lineitem join orders on l_orderkey = o_orderkey""",
     "fertilizer": """
 select case when l_orderkey % 107 = 0 then null else cast(l_orderkey as varchar) end as purchaseid,
-       cast(o_custkey as varchar) as consumerid,
+       case when o_custkey % 89 = 0 then 'C-' || cast(o_custkey as varchar) else cast(o_custkey as varchar) end as consumerid,
        cast(l_orderkey * 10 + l_linenumber as varchar) as fertilizerid,
        p_type as type,
-       case when l_partkey % 3 = 0 then null when l_partkey % 31 = 0 then '5mg' else cast(p_size as varchar) end as mg,
+       case when l_partkey % 3 = 0 then null when l_partkey % 31 = 0 then '5mg'
+            when l_partkey % 37 = 0 then ' ' || cast(p_size as varchar) || '  '
+            when l_partkey % 41 = 0 then cast(p_size as varchar) || '.75'
+            when l_partkey % 43 = 0 then '99999999999' when l_partkey % 47 = 0 then 'NaN'
+            else cast(p_size as varchar) end as mg,
        l_returnflag as frequency,
        'lineitem.parquet' as raw_file_name,
        l_shipdate as load_timestamp
-from lineitem join orders on l_orderkey = o_orderkey join part on l_partkey = p_partkey
-where l_returnflag = 'R'""",
+from lineitem join orders on l_orderkey = o_orderkey join part on l_partkey = p_partkey""",
 }
 
 # Columns of the sample tables by kind: n number, s text, o other.
@@ -335,7 +341,7 @@ def report_of_feeds() -> str:
                 ("text_min", f"min({c})"),
                 ("text_max", f"max({c})"),
                 *[
-                    (figure, f"cast(cast({function}(try_cast({c} as double)) as decimal(38, 6)) as varchar)")
+                    (figure, f"coalesce(cast(try_cast({function}(try_cast({c} as double)) as decimal(38, 6)) as varchar), case when count({c}) filter (where isnan(try_cast({c} as double))) > 0 then 'NaN' end)")
                     for figure, function in (("mean", "avg"), ("stddev", "stddev_samp"), ("number_min", "min"), ("number_max", "max"))
                 ],
             ):
@@ -349,17 +355,28 @@ def report_of_feeds() -> str:
     return "\nunion all ".join(parts)
 
 
-def upserted(keys: tuple[str, ...]) -> str:
+def two_deliveries(keys: tuple[str, ...]) -> tuple[str, dict[str, str]]:
+    """The avocados that remain of an earlier and a later delivery, and the steps that takes."""
     spec = SPECS["avocado"]
     early = f"(select * from bz_avocado where load_timestamp < timestamp '{MIDDLE}')"
     late = f"(select * from bz_avocado where load_timestamp >= timestamp '{MIDDLE}')"
     match = " and ".join(f"o.{k} = n.{k}" for k in keys)
-    return with_feeds(
-        restamped(f"select * from new_rows union all select * from old_rows o where not exists (select 1 from new_rows n where {match})"),
-        "avocado",
-        old_rows=clean(spec, early),
-        new_rows=clean(spec, late),
-    )
+    rows = f"select * from new_rows union all select * from old_rows o where not exists (select 1 from new_rows n where {match})"
+    return rows, {"old_rows": clean(spec, early), "new_rows": clean(spec, late)}
+
+
+def upserted(keys: tuple[str, ...]) -> str:
+    rows, steps = two_deliveries(keys)
+    return with_feeds(restamped(rows), "avocado", **steps)
+
+
+def incremental() -> str:
+    rows, steps = two_deliveries(("purchaseid",))
+    parts = [
+        f"select '{name}' as feed, purchaseid, consumerid, plu, load_timestamp from ({part})"
+        for name, part in (("silver", rows), ("rejects", rejected(SPECS["avocado"])))
+    ]
+    return with_feeds(restamped(" union all ".join(parts)), "avocado", **steps)
 
 
 def replaced_gold() -> str:
@@ -502,6 +519,7 @@ def all_oracles() -> dict[str, str]:
         "upsert_composite_key": upserted(("consumerid", "purchaseid")),
         "replace_by_key_gold": replaced_gold(),
         "reject_table_twice": with_feeds(restamped(rejected(fertilizer)), "fertilizer"),
+        "silver_incremental": incremental(),
         "gold_refresh": with_feeds(f"select *, '{LATER_RUN}' as updated_at from ({gold()})", **silver()),
         "bronze_to_gold": with_feeds(gold(), **silver(load_order=False)),
     }

@@ -39,6 +39,11 @@ def _every(column: str, n: int) -> Column:
     return F.col(column) % n == 0
 
 
+def _buyer(column: str) -> Column:
+    """A consumer id, some of which are no numbers."""
+    return F.when(_every(column, 89), F.concat(F.lit("C-"), F.col(column))).otherwise(_text(F.col(column)))
+
+
 def _audit(file_name: str, loaded: Column) -> list[Column]:
     return [F.lit(file_name).alias(RAW_FILE_NAME), loaded.cast("timestamp").alias(LOAD_TIMESTAMP)]
 
@@ -49,7 +54,7 @@ def consumer(spark: SparkSession, folder: str) -> DataFrame:
         _unless(_every("c_custkey", 37), _text(18 + key % 60))
     )
     return _table(spark, folder, "customer").select(
-        _unless(_every("c_custkey", 97), _text(key)).alias("consumerid"),
+        _unless(_every("c_custkey", 97), _buyer("c_custkey")).alias("consumerid"),
         F.when(_every("c_custkey", 2), "F").otherwise("M").alias("sex"),
         F.col("c_mktsegment").alias("ethnicity"),
         _text(F.col("c_nationkey")).alias("race"),
@@ -62,7 +67,7 @@ def purchase(spark: SparkSession, folder: str) -> DataFrame:
     key, buyer = F.col("o_orderkey"), F.col("o_custkey")
     return _table(spark, folder, "orders").select(
         _unless(_every("o_orderkey", 211), _text(key)).alias("purchaseid"),
-        _unless(_every("o_orderkey", 101), _text(buyer)).alias("consumerid"),
+        _unless(_every("o_orderkey", 101), _buyer("o_custkey")).alias("consumerid"),
         _text(F.to_date("o_orderdate")).alias("graphed_date"),
         _text(key % 1000).alias("avocado_bunch_id"),
         _unless(_every("o_orderkey", 53), _text(F.year("o_orderdate")), "n/a").alias("reporting_year"),
@@ -82,7 +87,7 @@ def _lines(spark: SparkSession, folder: str) -> DataFrame:
 def avocado(spark: SparkSession, folder: str) -> DataFrame:
     shipped = F.to_date("l_shipdate")
     return _lines(spark, folder).select(
-        _unless(_every("l_orderkey", 103), _text(F.col("o_custkey"))).alias("consumerid"),
+        _unless(_every("l_orderkey", 103), _buyer("o_custkey")).alias("consumerid"),
         _text(F.col("l_orderkey")).alias("purchaseid"),
         _text(F.col("l_suppkey")).alias("avocado_bunch_id"),
         _text(F.col("l_partkey")).alias("plu"),
@@ -96,13 +101,19 @@ def avocado(spark: SparkSession, folder: str) -> DataFrame:
 
 def fertilizer(spark: SparkSession, folder: str) -> DataFrame:
     part = _table(spark, folder, "part")
-    mg = F.when(_every("l_partkey", 3), F.lit(None)).otherwise(
-        _unless(_every("l_partkey", 31), _text(F.col("p_size")), "5mg")
+    size = _text(F.col("p_size"))
+    mg = (
+        F.when(_every("l_partkey", 3), F.lit(None))
+        .when(_every("l_partkey", 31), "5mg")
+        .when(_every("l_partkey", 37), F.concat(F.lit(" "), size, F.lit("  ")))
+        .when(_every("l_partkey", 41), F.concat(size, F.lit(".75")))
+        .when(_every("l_partkey", 43), "99999999999")
+        .when(_every("l_partkey", 47), "NaN")
+        .otherwise(size)
     )
-    returned = _lines(spark, folder).filter(F.col("l_returnflag") == "R")
-    return returned.join(part, F.col("l_partkey") == F.col("p_partkey")).select(
+    return _lines(spark, folder).join(part, F.col("l_partkey") == F.col("p_partkey")).select(
         _unless(_every("l_orderkey", 107), _text(F.col("l_orderkey"))).alias("purchaseid"),
-        _text(F.col("o_custkey")).alias("consumerid"),
+        _buyer("o_custkey").alias("consumerid"),
         _text(F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("fertilizerid"),
         F.col("p_type").alias("type"),
         mg.alias("mg"),
