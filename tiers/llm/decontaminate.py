@@ -168,14 +168,17 @@ def leaks(docs: DataFrame, benchmark: DataFrame, size: int = SIZE, threshold: fl
     in_docs = hits.groupBy("seed").agg(F.approx_count_distinct("doc_id").alias("docs"))
     spread = seeds.join(in_items, "seed").join(in_docs, "seed")
     median = spread.groupBy("item").agg(F.percentile_approx("docs", 0.5).alias("usual"), F.min("items").alias("fewest"))
-    rare = spread.join(median, "item").where(
-        (F.col("items") <= F.greatest(F.lit(MOST_ITEMS), "fewest")) & (F.col("docs") <= MOST_TIMES * F.col("usual"))
+    judged = spread.join(median, "item").withColumn(
+        "rare", (F.col("items") <= F.greatest(F.lit(MOST_ITEMS), "fewest")) & (F.col("docs") <= MOST_TIMES * F.col("usual"))
     )
-    rare = keep(rare.select("item", "seed"), "leak-seeds")
-    met = hits.join(rare, "seed").groupBy("passage", "item").agg(F.countDistinct("seed").alias("shared"))
-    enough = F.least(F.lit(2), F.size("seeds"))
-    about = items.withColumn("enough", enough).select("item", "item_id", "item_words", "enough").dropDuplicates(["item"])
-    pairs = met.join(about, "item").where(F.col("shared") >= F.col("enough"))
+    # An item without a rare seed in the documents is looked for by all it has.
+    some = judged.groupBy("item").agg(F.max("rare").alias("some"), F.count_if(~F.col("rare")).alias("others"))
+    used = judged.join(some, "item").where(F.col("rare") | ~F.col("some"))
+    rare = keep(used.select("item", "seed", F.expr("if(some, others, 0)").alias("others")), "leak-seeds")
+    met = hits.join(rare, "seed").groupBy("passage", "item").agg(F.countDistinct("seed").alias("shared"), F.first("others").alias("others"))
+    about = items.withColumn("n_seeds", F.size("seeds")).select("item", "item_id", "item_words", "n_seeds").dropDuplicates(["item"])
+    # Two seeds are wanted, or the one that remains of an item whose others are not rare.
+    pairs = met.join(about, "item").where(F.col("shared") >= F.least(F.lit(2), F.col("n_seeds") - F.col("others")))
     texts = found.groupBy("doc_id", "passage").agg(F.first("begin").alias("begin"), F.first("words").alias("words"))
     scored = align(pairs.join(texts, "passage")).where(F.col("score") >= threshold)
     best = F.max(F.struct("score", (-F.col("last_word")).alias("early"), "shared")).alias("best")
