@@ -188,6 +188,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, size: int = SIZE, threshold: fl
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents that hold no benchmark item."""
-    bad = leaks(docs, benchmark).select(F.col("doc_id").alias("bad")).distinct()
-    return docs.join(bad.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("bad")), "left_anti")
+    """The documents that hold no benchmark item; rows that share an id, or have none, are judged each by its own text."""
+    key = F.concat_ws(":", F.hex(F.xxhash64("text")), F.col("doc_id").cast("string"))
+    bad = leaks(docs.select(key.alias("doc_id"), "text"), benchmark).select(F.col("doc_id").alias("bad")).distinct()
+    return docs.join(bad.hint("shuffle_hash"), key == F.col("bad"), "left_anti")

@@ -15,6 +15,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from tiers.llm.common import components, keep
 
@@ -83,12 +84,8 @@ def links(fps: DataFrame, crowd: int = CROWD) -> DataFrame:
     return near.union(hub).distinct()
 
 
-def near_duplicates(docs: DataFrame, crowd: int = CROWD) -> DataFrame:
-    """One row per document: doc_id, fingerprint (hex), component_id (smallest doc_id linked, directly or through others).
-
-    NULL and empty texts have fingerprint zero and link to one another. Rows without a doc_id take part, but give a
-    group no name: a group of such rows only has component_id NULL. Repeated rows come out as often as they came in.
-    """
+def grouped(docs: DataFrame, crowd: int = CROWD) -> DataFrame:
+    """doc_id, fp, root (a fingerprint that names the group) and component_id of each row."""
     fps = keep(fingerprints(docs), "simhash")
     classes = fps.groupBy("fp").agg(F.min("doc_id").alias("first"))
     roots = components(links(classes.select("fp"), crowd), "simhash-links")
@@ -96,22 +93,47 @@ def near_duplicates(docs: DataFrame, crowd: int = CROWD) -> DataFrame:
         "fp", "first", F.coalesce("root", "fp").alias("root")
     )
     names = named.groupBy("root").agg(F.min("first").alias("component_id"))
-    table = named.join(names, "root").select("fp", "component_id")
-    return fps.join(table, "fp").select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
-    )
+    table = named.join(names, "root").select("fp", "root", "component_id")
+    return fps.join(table, "fp").select("doc_id", "fp", "root", "component_id")
+
+
+def near_duplicates(docs: DataFrame, crowd: int = CROWD) -> DataFrame:
+    """One row per document: doc_id, fingerprint (hex), component_id (smallest doc_id linked, directly or through others).
+
+    NULL and empty texts have fingerprint zero and link to one another. Rows without a doc_id take part, but give a
+    group no name: a group of such rows only has component_id NULL. Repeated rows come out as often as they came in.
+    """
+    return grouped(docs, crowd).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def with_fingerprint(docs: DataFrame) -> DataFrame:
+    """The rows with their fingerprint, `fp`."""
+    at = docs.columns.index("text")
+
+    def run(batches):
+        for batch in batches:
+            found = pa.array([fingerprint(t.as_py()) for t in batch.column(at)], pa.int64())
+            yield pa.RecordBatch.from_arrays([*batch.columns, found], [*batch.schema.names, "fp"])
+
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField("fp", LongType())]))
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The documents without near-duplicates: of each group the row with the smallest doc_id stays, once."""
-    found = keep(near_duplicates(docs), "simhash-kept")
-    first = found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    rows = keep(first.groupBy("doc_id").agg(F.count("*").alias("n")), "simhash-rows")
+    """The documents without near-duplicates: of each group the row with the smallest doc_id stays, once.
+
+    Of a group without any doc_id one row stays. Texts of several groups under one id, or without one, stay for each group.
+    """
+    found = keep(grouped(docs), "simhash-kept")
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "fp")).alias("least")
+    first = keep(found.groupBy("root").agg(least).select("least.doc_id", "least.fp"), "simhash-first")
+    again = found.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 or doc_id is null").select(F.col("doc_id").alias("again"))
+    again = keep(first.join(again, F.col("doc_id").eqNullSafe(F.col("again")), "left_semi"), "simhash-rows")
     # Texts move once; only rows that share an id, or have none, are told apart by more than the id.
-    once = rows.where("n = 1 and doc_id is not null").select("doc_id")
-    single = docs.join(once.hint("shuffle_hash"), "doc_id", "left_semi")
-    more = rows.where("n > 1 or doc_id is null").select(F.col("doc_id").alias("again"))
-    if more.isEmpty():
+    once = first.where("doc_id is not null").select("doc_id").join(again.select("doc_id"), "doc_id", "left_anti")
+    single = docs.join(once.hint("shuffle_hash"), "doc_id", "left_semi").select(docs.columns)
+    if again.isEmpty():
         return single
-    several = docs.join(more, F.col("doc_id").eqNullSafe(F.col("again")), "left_semi")
-    return single.unionByName(several.dropDuplicates(["doc_id"]))
+    more = again.select(F.col("doc_id").alias("id"), F.col("fp").alias("of"))
+    several = with_fingerprint(docs.join(more, F.col("doc_id").eqNullSafe(F.col("id")), "left_semi"))
+    several = several.join(more, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("fp") == F.col("of")), "left_semi")
+    return single.unionByName(several.dropDuplicates(["doc_id", "fp"]).select(docs.columns))
