@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tiers.llm import ann, chat, decontaminate, htmltext, langid, mixing, simhash, substring, urlrules, warc
+from tiers.llm import ann, chat, decontaminate, htmltext, langid, mixing, simhash, substring, urlrules, warc, whitening
 from tiers.llm.common import table
 
 
@@ -61,6 +61,10 @@ def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlrules.judge(table(spark, sf_dir, "pages").select("page_id", "url")).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op13_whitening_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -79,6 +83,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_decontaminate,
         op9_simhash_segments,
         op10_url_rules,
+        op13_whitening_slices,
         pipeline,
     )
     return {f.__name__: f for f in named}
