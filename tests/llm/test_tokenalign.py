@@ -1,0 +1,175 @@
+"""Token alignment against whole texts, token bytes and plain sets, and its odd cases."""
+
+import hashlib
+import random
+from collections import Counter, defaultdict
+
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from tiers.llm import tokenalign
+from tiers.llm.tokenalign import A_FILE, B_FILE, Aligner, Block
+
+SCHEMA = "doc_id long, text string, lang string"
+ODD = [
+    None,
+    "",
+    " ",
+    "  ",
+    "a",
+    "a b",
+    " lead and trail ",
+    "two  spaces   three",
+    "tab\tnew\nline \n end\r\n",
+    "no break 　 wide  em\u0085next \u001c x",
+    "héllo wörld naïve é ́x",
+    "你好 世界 \U0001d4b3\U0001f600 \U0001f468‍\U0001f469",
+    "has ▁ the mark",
+    "<|endoftext|> <s> </s> <unk> <0x41> [INST]",
+    "nul \x00 inside",
+    "it's we'll 123456 $$$ ### ?!",
+    "\U0001f600" * 400,
+    "#" * 5000 + " " + "-=" * 900,
+    "ภาษาไทย " * 30,
+]
+
+
+def letters():
+    """Byte-level letters, the published rule."""
+    keep = [*range(ord("!"), ord("~") + 1), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    codes, n = dict((b, b) for b in keep), 0
+    for b in range(256):
+        if b not in codes:
+            codes[b], n = 256 + n, n + 1
+    return {chr(c): b for b, c in codes.items()}
+
+
+class Plain:
+    def __init__(self):
+        import sentencepiece
+
+        self.a = Tokenizer.from_file(A_FILE)
+        self.a.encode_special_tokens = True
+        self.b = sentencepiece.SentencePieceProcessor(model_file=B_FILE)
+        self.letter = letters()
+
+    def groups(self, text):
+        """(ids of A, ids of B) of each group of a whole text."""
+        if not text:
+            return []
+        a = self.a.encode(" " + text, add_special_tokens=False).ids
+        b = self.b.encode(text)
+        a_bytes = [bytes(self.letter[c] for c in self.a.id_to_token(i)) for i in a]
+        b_bytes = []
+        for i in b:
+            piece = self.b.id_to_piece(i)
+            b_bytes.append(bytes([int(piece[3:5], 16)]) if self.b.is_byte(i) else piece.replace("▁", " ").encode())
+        whole = (" " + text).encode()
+        if b"".join(a_bytes) != whole or b"".join(b_bytes) != whole:
+            return []
+        ends = []
+        for parts in (a_bytes, b_bytes):
+            past, out = 0, []
+            for p in parts:
+                past += len(p)
+                out.append(past)
+            ends.append(out)
+        cuts, out, i, j = sorted(set(ends[0]) & set(ends[1])), [], 0, 0
+        for cut in cuts:
+            x, y = [], []
+            while i < len(a) and ends[0][i] <= cut:
+                x.append(a[i])
+                i += 1
+            while j < len(b) and ends[1][j] <= cut:
+                y.append(b[j])
+                j += 1
+            out.append((x, y))
+        return out
+
+    def table(self, rows):
+        found = [self.groups(t) for _, t in rows]
+        linked = [Counter((x, y) for a, b in g for x in a for y in b) for g in found]
+        count, best = Counter(p for c in linked for p in c), defaultdict(int)
+        for (x, _), n in count.items():
+            best[x] = max(best[x], n)
+        out = []
+        for (doc, _), g, c in zip(rows, found, linked, strict=True):
+            written = ";".join(f"{','.join(map(str, a))}|{','.join(map(str, b))}" for a, b in g)
+            out.append(
+                (
+                    doc,
+                    sum(len(a) for a, _ in g),
+                    sum(len(b) for _, b in g),
+                    len(g),
+                    sum(c.values()),
+                    sum(n for p, n in c.items() if count[p] == best[p[0]]),
+                    sum(n * count[p] for p, n in c.items()),
+                    hashlib.sha256(written.encode()).hexdigest() if g else "",
+                )
+            )
+        return out
+
+
+COLUMNS = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
+
+
+@pytest.mark.parametrize("block", [tokenalign.BLOCK_BYTES, 300])
+def test_links_against_plain(spark, monkeypatch, block):
+    monkeypatch.setattr(tokenalign, "BLOCK_BYTES", block)
+    rng = random.Random(4)
+    mixed = [" ".join(rng.choice("the of café 世界 \U0001f600! it's a,b 42 x́y".split()) for _ in range(rng.randrange(40))) for _ in range(60)]
+    texts = ODD + mixed + mixed[:5] + ["the of " * 3000]
+    rows = [*enumerate(texts), (None, "the café"), (None, "x"), (3, "one id, two texts")]
+    docs = spark.createDataFrame([(i, t, None) for i, t in rows], SCHEMA).repartition(3)
+    docs = docs.withColumn("block", F.lit("clash")).withColumn("at", F.lit(1)).withColumn("pair", F.lit(1)).withColumn("n_a", F.lit(1))
+    found = tokenalign.links(docs)
+    assert found.columns == COLUMNS
+    assert sorted(map(tuple, found.collect()), key=str) == sorted(Plain().table(rows), key=str)
+
+
+def test_groups_cut_the_text(spark):
+    docs = spark.createDataFrame([(i, t, None) for i, t in enumerate(ODD)], SCHEMA)
+    plain = Plain()
+    found = {r.doc_id: r.groups for r in tokenalign.groups(docs).collect()}
+    for i, text in enumerate(ODD):
+        want, got = plain.groups(text), found[i]
+        assert [(g.a, g.b) for g in got] == want
+        if want:
+            assert [g.begin for g in got] == [0] + [g.end for g in got[:-1]] and got[-1].end == len((" " + text).encode())
+
+
+def test_words_apart_or_whole_texts(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text").toArrow()["text"].combine_chunks()
+    apart, whole = Aligner(A_FILE, B_FILE), Aligner(A_FILE, B_FILE)
+    assert apart.apart
+    whole.apart = False
+    texts = pa.concat_arrays([docs, pa.array(ODD, docs.type)])
+    one, two = Block(apart, texts), Block(whole, texts)
+    assert one.written == two.written and (one.counts == two.counts).all() and (one.clean == two.clean).all()
+    assert (one.pairs == two.pairs).all() and (one.docs == two.docs).all() and (one.times == two.times).all()
+
+
+def test_a_group_too_large_to_list(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, t, None) for i, t in enumerate(ODD)], SCHEMA)
+    want = sorted(map(tuple, tokenalign.links(docs).collect()))
+    monkeypatch.setattr(tokenalign, "LISTED", 0)
+    tokenalign.aligner.cache_clear()
+    known = Aligner(A_FILE, B_FILE)
+    texts = pa.array(ODD, pa.string())
+    small = Block(known, texts)
+    assert [int(c[3]) for c in small.counts] == [r[4] for r in want]
+    plain = Plain()
+    linked = [Counter((x, y) for a, b in plain.groups(t) for x in a for y in b) for t in ODD]
+    for k, c in enumerate(linked):
+        i, j = small.begin[k], small.begin[k + 1]
+        got = {divmod(int(small.pairs[p]), known.wide): int(n) for p, n in zip(small.at[i:j], small.times[i:j], strict=True)}
+        assert got == c
+
+
+def test_an_empty_table(spark):
+    docs = spark.createDataFrame([], SCHEMA)
+    assert tokenalign.links(docs).count() == 0 and tokenalign.groups(docs).count() == 0
+    nothing = spark.createDataFrame([(1, None, None), (None, "", None)], SCHEMA)
+    assert sorted(map(tuple, tokenalign.links(nothing).collect()), key=str) == [(1, 0, 0, 0, 0, 0, 0, ""), (None, 0, 0, 0, 0, 0, 0, "")]
