@@ -31,8 +31,8 @@ from tiers.llm.common import keep, raw, slices
 
 A_FILE, B_FILE = "/opt/tokenizers/byte_bpe_50k.json", "/opt/tokenizers/piece_bpe_32k.model"
 #: Bytes of text in a block, longer texts alone; words and characters remembered before the memory starts anew.
-BLOCK_BYTES = 8 << 20
-MEMO_WORDS, MEMO_CHARS = 500_000, 16 << 20
+BLOCK_BYTES = 4 << 20
+MEMO_WORDS, MEMO_CHARS = 300_000, 8 << 20
 #: Characters encoded in one call.
 CALL_CHARS = 1 << 18
 #: Links of a group that are listed one by one; larger groups are counted by id.
@@ -124,27 +124,67 @@ class Aligner:
 
     def learn(self, words: list[str]) -> None:
         """Encode and align words not met before, all at once."""
-        seen = self.a.encode_batch(words, add_special_tokens=False)
-        # The protos of this version of the library give spans in bytes.
-        protos = self.b.encode([w[1:] for w in words], return_type="proto", num_threads=1)
-        self.memo.update(zip(words, range(len(self.written), len(self.written) + len(words)), strict=True))
+        number = np.arange(len(words)) + len(self.written)
+        self.memo.update(zip(words, number.tolist(), strict=True))
         self.chars += sum(map(len, words))
-        a = [e.ids for e in seen]
-        b = [[p.id for p in proto.pieces] for proto in protos]
-        whole = [w.encode() for w in words]
-        clean = [
-            bool(y) and b"".join([self.a_bytes[i] for i in x]) == w and b"".join([self.b_bytes[i] for i in y]) == w
-            for w, x, y in zip(whole, a, b, strict=True)
-        ]
-        kept = np.flatnonzero(clean)
-        a_many, b_many = np.array([len(a[k]) for k in kept], np.int64), np.array([len(b[k]) for k in kept], np.int64)
-        a_ids, b_ids = (np.fromiter(chain.from_iterable(x[k] for k in kept), np.int64) for x in (a, b))
-        spans = np.fromiter(chain.from_iterable(chain.from_iterable(seen[k].offsets for k in kept)), np.int64).reshape(-1, 2)
-        ends = np.fromiter((p.end for k in kept for p in protos[k].pieces), np.int64)
-        text = b"".join(whole[k] for k in kept)
-        base = np.concatenate([[0], np.cumsum([len(whole[k]) for k in kept])]).astype(np.int64)
-        a_ends = self.ends_of_a(text, [words[k] for k in kept], a_ids, a_many, spans)
-        b_ends = self.ends_of_b(base, b_ids, b_many, ends)
+        # Words that begin and end without white space tokenize in a row as they do alone; the rest goes one by one.
+        plain = [self.apart and not w[1:2].isspace() and not w[-1:].isspace() and "▁" not in w for w in words]
+        kept = np.flatnonzero(plain)
+        found = self.together([words[k] for k in kept]) if len(kept) else None
+        if found is None:
+            kept, found = self.one_by_one(words)
+        elif len(kept) < len(words):
+            rest = np.flatnonzero(~np.array(plain))
+            places, more = self.one_by_one([words[k] for k in rest])
+            shift = [0, len("".join(words[k] for k in kept)), 0, found[3][-1]]
+            kept = np.concatenate([kept, rest[places]])
+            found = [np.concatenate([x, y + d] if i < 3 else [x, y[1:] + d]) for i, (x, y, d) in enumerate(zip(found, more, shift, strict=True))]
+        self.align([words[k] for k in kept], kept, len(words), *found)
+
+    def together(self, words: list[str]) -> list[np.ndarray] | None:
+        """Ids of A, their character spans, ids and ends of B, and byte edges of words encoded in a row; None if bytes differ."""
+        text = "".join(words)
+        a, b = self.a.encode(text, add_special_tokens=False), self.spans_of_b([text[1:]])[0]
+        if b"".join([self.a_bytes[i] for i in a.ids]) != text.encode() or b"".join([self.b_bytes[i] for i in b["ids"]]) != text.encode():
+            return None
+        return self.arrays([a.ids], [a.offsets], [0], [b], [0], words)
+
+    def one_by_one(self, words: list[str]) -> tuple[np.ndarray, list[np.ndarray]]:
+        """The words whose bytes come back, and for those the same as `together`."""
+        a, b = self.a.encode_batch(words, add_special_tokens=False), self.spans_of_b([w[1:] for w in words])
+
+        def whole(k: int, word: str) -> bool:
+            mine, theirs = a[k].ids, b[k]["ids"]
+            text = word.encode()
+            return bool(theirs) and b"".join([self.a_bytes[i] for i in mine]) == text == b"".join([self.b_bytes[i] for i in theirs])
+
+        kept = [k for k, w in enumerate(words) if whole(k, w)]
+        chars = np.cumsum([0] + [len(words[k]) for k in kept])
+        size = np.cumsum([0] + [len(words[k].encode()) for k in kept])
+        mine, theirs = [a[k] for k in kept], [b[k] for k in kept]
+        ids, spans = [x.ids for x in mine], [x.offsets for x in mine]
+        return np.array(kept, np.int64), self.arrays(ids, spans, chars, theirs, size, [words[k] for k in kept])
+
+    def spans_of_b(self, texts: list[str]) -> list[dict]:
+        """Ids and spans in bytes; the spans are those of the library's proto, without a Python object for each piece."""
+        return self.b.encode(texts, return_type="offset_mapping", return_bytes=True, num_threads=1)
+
+    @staticmethod
+    def arrays(ids, spans, chars, pieces, size, words: list[str]) -> list[np.ndarray]:
+        flat = chain.from_iterable
+        a_ids = np.fromiter(flat(ids), np.int64)
+        a_spans = np.fromiter(flat(flat(spans)), np.int64).reshape(-1, 2)
+        a_spans += np.repeat(chars[: len(ids)], [len(x) for x in ids])[:, None] if len(ids) else 0
+        b_ids = np.fromiter(flat(p["ids"] for p in pieces), np.int64)
+        b_ends = np.fromiter((end for p in pieces for _, end in p["offsets"]), np.int64) + 1
+        b_ends += np.repeat(size[: len(pieces)], [len(p["ids"]) for p in pieces]) if len(pieces) else 0
+        edges = np.cumsum([0] + [len(w.encode()) for w in words])
+        return [a_ids, a_spans, np.stack([b_ids, b_ends], 1), edges]
+
+    def align(self, words: list[str], kept: np.ndarray, every: int, a_ids: np.ndarray, a_spans: np.ndarray, b: np.ndarray, base: np.ndarray) -> None:
+        b_ids, b_ends = b[:, 0], b[:, 1]
+        a_ends = self.ends_of_a("".join(words).encode(), a_ids, a_spans)
+        b_ends = self.ends_of_b(b_ids, b_ends)
         a_cut, b_cut = np.isin(a_ends, b_ends, assume_unique=True), np.isin(b_ends, a_ends, assume_unique=True)
         a_group, b_group = np.cumsum(a_cut) - a_cut, np.cumsum(b_cut) - b_cut
         groups = int(a_cut.sum())
@@ -153,13 +193,15 @@ class Aligner:
         # As many links in a word as its groups have; a word ends a group.
         group_word = np.searchsorted(base[1:], a_ends[a_cut], "left")
         many = len(kept)
-        counts = np.zeros((len(words), 4), np.int64)
+        a_many = np.diff(np.searchsorted(a_ends, base, "right"))
+        b_many = np.diff(np.searchsorted(b_ends, base, "right"))
+        counts = np.zeros((every, 4), np.int64)
         counts[kept, 0], counts[kept, 1] = a_many, b_many
         counts[kept, 2] = np.bincount(group_word, minlength=many)
         np.add.at(counts[:, 3], kept[group_word], a_in * b_in)
         self.counts.append(counts)
-        written = self.write(a_ids, b_ids, a_group, b_group, a_cut, b_cut, a_past, b_past, base, a_many, b_many)
-        out: list[bytes | None] = [None] * len(words)
+        written = self.write(a_ids, b_ids, a_group, b_group, a_cut, b_cut, a_past, b_past, a_many + b_many)
+        out: list[bytes | None] = [None] * every
         for k, w in zip(kept.tolist(), written, strict=True):
             out[k] = w
         self.written += out
@@ -180,25 +222,21 @@ class Aligner:
         order = np.argsort(word, kind="stable")
         self.pairs.append(np.concatenate(pairs)[order])
         self.times.append(np.concatenate(times)[order])
-        self.first.append(sum(map(len, self.pairs[:-1])) + np.cumsum(np.bincount(word, minlength=len(words))))
+        self.first.append(sum(map(len, self.pairs[:-1])) + np.cumsum(np.bincount(word, minlength=every)))
 
-    def ends_of_a(self, text: bytes, words: list[str], ids: np.ndarray, many: np.ndarray, spans: np.ndarray) -> np.ndarray:
+    def ends_of_a(self, text: bytes, ids: np.ndarray, spans: np.ndarray) -> np.ndarray:
         """Byte at which each token ends: its character offset, or its bytes where the next token is in the same character."""
         data = np.frombuffer(text, np.uint8)
         at = np.append(np.flatnonzero((data & 0xC0) != 0x80), len(data))
-        length = np.array([len(w) for w in words], np.int64)
-        base = np.repeat(np.cumsum(length) - length, many)
-        coarse = at[base + spans[:, 1]]
-        inside = np.append((base + spans[:, 0])[1:] < (base + spans[:, 1])[:-1], False)
-        return np.where(inside, np.cumsum(self.a_size[ids]), coarse)
-
-    def ends_of_b(self, base: np.ndarray, ids: np.ndarray, many: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        """Byte at which each piece ends: its span (without the space in front), or its bytes where the span stays behind."""
+        inside = np.append(spans[1:, 0] < spans[:-1, 1], False)
+        return np.where(inside, np.cumsum(self.a_size[ids]), at[spans[:, 1]])
+
+    def ends_of_b(self, ids: np.ndarray, spans: np.ndarray) -> np.ndarray:
+        """Byte at which each piece ends: its span, or its bytes where the span of a byte token stays behind."""
         decoded = np.cumsum(self.b_size[ids])
-        coarse = np.repeat(base[:-1], many) + ends + 1
-        return np.where(coarse == decoded, coarse, decoded)
+        return np.where(spans == decoded, spans, decoded)
 
-    def write(self, a_ids, b_ids, a_group, b_group, a_cut, b_cut, a_past, b_past, base, a_many, b_many) -> list[bytes]:
+    def write(self, a_ids, b_ids, a_group, b_group, a_cut, b_cut, a_past, b_past, many) -> list[bytes]:
         """`a1,a2|b1;a3|b2,b3;` for each word: the numbers of all words in one go, then cut by word."""
         n, m = len(a_ids), len(b_ids)
         before = np.concatenate([[0], b_past])
@@ -211,7 +249,7 @@ class Aligner:
         out[np.arange(n + m), length] = mark
         flat = out[np.arange(out.shape[1]) <= length[:, None]].tobytes()
         past = np.concatenate([[0], np.cumsum(length + 1)])
-        edge = past[np.concatenate([[0], np.cumsum(a_many + b_many)])].tolist()
+        edge = past[np.concatenate([[0], np.cumsum(many)])].tolist()
         return [flat[i:j] for i, j in zip(edge[:-1], edge[1:], strict=True)]
 
 
