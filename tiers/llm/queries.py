@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tiers.llm import ann, chat, decontaminate, htmltext, langid, mixing, simhash, substring, tokenalign, urlrules, warc, whitening
+from tiers.llm import ann, chat, decontaminate, htmltext, langid, mixing, simhash, substring, tokenalign, toxicity, urlrules, warc, whitening
 from tiers.llm.common import table
 
 
@@ -61,6 +61,10 @@ def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlrules.judge(table(spark, sf_dir, "pages").select("page_id", "url")).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op11_toxicity_ftrl(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op12_token_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenalign.links(table(spark, sf_dir, "documents"))
 
@@ -87,6 +91,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_decontaminate,
         op9_simhash_segments,
         op10_url_rules,
+        op11_toxicity_ftrl,
         op12_token_spans,
         op13_whitening_slices,
         pipeline,
