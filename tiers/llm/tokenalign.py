@@ -84,7 +84,9 @@ class Aligner:
         self.counts = [np.zeros((0, 4), np.int64)]  # tokens of A, of B, groups, links of each word
         self.written: list[bytes | None] = []  # None: the bytes do not come back
         self.first = [np.zeros(1, np.int64)]  # where a word's pairs end
-        self.pairs, self.times = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        self.pairs, self.times = [np.zeros(0, np.int32)], [np.zeros(0, np.int32)]  # numbers of pairs, and how often
+        self.pair_numbers: dict[int, int] = {}
+        self.heavy = False  # a word holds a pair more than once in an entry
 
     def words(self, texts: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray]:
         """The words of all texts, each with the space in front, and where each text's begin."""
@@ -220,8 +222,11 @@ class Aligner:
             word.append(np.full(len(pairs[-1]), group_word[g]))
         word = kept[np.concatenate(word)]
         order = np.argsort(word, kind="stable")
-        self.pairs.append(np.concatenate(pairs)[order])
-        self.times.append(np.concatenate(times)[order])
+        different, at = np.unique(np.concatenate(pairs)[order], return_inverse=True)
+        known = self.pair_numbers
+        self.pairs.append(np.array([known.setdefault(p, len(known)) for p in different.tolist()], np.int32)[at])
+        self.times.append(np.concatenate(times)[order].astype(np.int32))
+        self.heavy |= bool((self.times[-1] > 1).any())
         self.first.append(sum(map(len, self.pairs[:-1])) + np.cumsum(np.bincount(word, minlength=every)))
 
     def ends_of_a(self, text: bytes, ids: np.ndarray, spans: np.ndarray) -> np.ndarray:
@@ -306,19 +311,25 @@ class Block:
 
     def link(self, known: Aligner, text: np.ndarray, word: np.ndarray, rows: int) -> None:
         """The pairs of the block, in how many texts each is, and for each text its pairs (`at`) and how often (`times`)."""
-        size = max(1, len(known.written))
-        word, often = np.unique(text * size + word, return_counts=True)
-        text, word = np.divmod(word, size)
-        first, pairs, times = known.first[0], known.pairs[0], known.times[0]
+        first, many = known.first[0], max(1, len(known.pair_numbers))
         length = first[word + 1] - first[word]
         flat = np.repeat(first[word] - np.cumsum(length) + length, length) + np.arange(int(length.sum()))
-        self.pairs, at = np.unique(pairs[flat], return_inverse=True)
-        many = max(1, len(self.pairs))
-        met, place = np.unique(np.repeat(text, length) * many + at, return_inverse=True)
-        self.times = np.zeros(len(met), np.int64)
-        np.add.at(self.times, place, times[flat] * np.repeat(often, length))
-        text, self.at = np.divmod(met, many)
-        self.docs = np.bincount(self.at, minlength=len(self.pairs))
+        held = np.repeat(text * many, length) + known.pairs[0][flat]
+        met, self.times = np.unique(held, return_counts=True)
+        if known.heavy:
+            more = known.times[0][flat]
+            heavy = np.flatnonzero(more > 1)
+            np.add.at(self.times, np.searchsorted(met, held[heavy]), more[heavy] - 1)
+        text, at = np.divmod(met, many)
+        docs = np.bincount(at, minlength=many)
+        # Numbers within the block, in the order in which the pairs were first met.
+        self.pairs = np.flatnonzero(docs)
+        self.docs = docs[self.pairs]
+        place = np.zeros(many, np.int64)
+        place[self.pairs] = np.arange(len(self.pairs))
+        self.at = place[at]
+        names = np.fromiter(known.pair_numbers, np.int64, len(known.pair_numbers))
+        self.pairs = names[self.pairs]
         self.begin = np.searchsorted(text, np.arange(rows + 1))
 
 
