@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,6 +12,7 @@ from tiers.functions.dates import day_counts
 from tiers.operators.joins import spread_join
 from tiers.operators.quality import positive_durations
 from tiers.session import tune
+from tiers.sinks import parted
 from tiers.sinks.tables import replace_by_key
 from tiers.sources.csv import load_time
 from tiers.specs import UPDATED_AT, gold_schema
@@ -70,10 +73,65 @@ def gold_output_outer_form(
 
 
 def gold_refresh(
-    spark: SparkSession, silver: dict[str, str], gold_table: str, now=None, consumer_id_type: str = "string"
+    spark: SparkSession,
+    silver: dict[str, str],
+    gold_table: str,
+    now=None,
+    consumer_id_type: str = "string",
+    incremental: bool = False,
+    parts: int = parted.PARTS,
 ) -> None:
-    """Recompute the output from the silver tables and replace the rows of every consumer in it."""
+    """Bring the output up to date with the silver tables: the rows of every consumer that has any are replaced.
+
+    ``incremental`` recomputes the consumers of silver rows that changed since the last refresh, by the change logs that
+    silver tables in parts keep: the consumer a row had before and the one it has now. Both ways end in the same rows,
+    but for the time of the update of consumers that did not change. The first refresh recomputes all.
+    """
     tune(spark)
+    stamp = load_time(now)
     frames = {name: spark.table(table) for name, table in silver.items()}
-    rows = gold_output(**frames, consumer_id_type=consumer_id_type).withColumn(UPDATED_AT, load_time(now))
-    replace_by_key(spark, gold_table, rows, ["consumer_id"])
+    seen = changes_until(spark, silver)
+    last = refreshed_until(spark, gold_table) if incremental and seen else None
+    if last:
+        frames = only_consumers(frames, changed_consumers(spark, silver, last))
+    rows = gold_output(**frames, consumer_id_type=consumer_id_type).withColumn(UPDATED_AT, stamp)
+    replace_by_key(spark, gold_table, rows, ["consumer_id"], parts)
+    if seen:
+        spark.sql(f"ALTER TABLE {parted.store_of(gold_table)} SET TBLPROPERTIES ('{REFRESHED_UNTIL}' = '{seen}')")
+
+
+REFRESHED_UNTIL = "tiers.changes_until"
+
+
+def changes_until(spark: SparkSession, silver: dict[str, str]) -> int | None:
+    """Time of the latest noted change in microseconds since 1970; None unless all tables keep a log."""
+    logs = [parted.changes_of(table) for table in silver.values()]
+    if not all(spark.catalog.tableExists(log) for log in logs):
+        return None
+    times = [spark.table(log).agg(F.unix_micros(F.max(parted.CHANGED_AT))).first()[0] for log in logs]
+    return max((t for t in times if t is not None), default=None)
+
+
+def refreshed_until(spark: SparkSession, gold_table: str) -> int | None:
+    """Time up to which changes are in the output."""
+    if not parted.is_parted(spark, gold_table):
+        return None
+    rows = spark.sql(f"SHOW TBLPROPERTIES {parted.store_of(gold_table)}").where(F.col("key") == REFRESHED_UNTIL).collect()
+    return int(rows[0]["value"]) if rows else None
+
+
+def changed_consumers(spark: SparkSession, silver: dict[str, str], last: int) -> DataFrame:
+    """Consumers, each once, whose rows in any table changed after that time; older days of the logs are not read."""
+    since = F.timestamp_micros(F.lit(last))
+    ids = [
+        spark.table(parted.changes_of(table))
+        .where((F.col(parted.CHANGE_DAY) >= F.to_date(since)) & (F.col(parted.CHANGED_AT) > since))
+        .select("consumerid")
+        for table in silver.values()
+    ]
+    return reduce(DataFrame.union, ids).distinct()
+
+
+def only_consumers(frames: dict[str, DataFrame], consumers: DataFrame) -> dict[str, DataFrame]:
+    """All tables name the consumer, and rows only meet rows of the same one: the others can be left out before the joins."""
+    return {name: df.join(consumers, "consumerid", "left_semi") for name, df in frames.items()}

@@ -9,6 +9,7 @@ from pyspark.sql import SparkSession
 
 from tiers.plans.gold import gold_refresh
 from tiers.plans.silver import silver_refresh
+from tiers.sinks.parted import PARTS
 from tiers.sinks.tables import ensure_schema
 from tiers.specs import SPECS
 from tiers.streaming.ingest import ingest
@@ -27,12 +28,14 @@ def run(
     buckets: int | None = None,
     consumer_id_type: str = "string",
     incremental: bool = True,
+    parts: int = PARTS,
 ) -> str:
     """Take in what has arrived and refresh every table; returns the name of the gold table.
 
     ``prefix`` goes in front of the schema names bronze, silver and gold; ``location`` is the folder for
-    them where the warehouse folder is not to be used. Silver goes on from the load times it holds, unless
-    ``incremental`` is false; load times must not fall from run to run.
+    them where the warehouse folder is not to be used. Silver goes on from the load times it holds and gold from
+    the changes it has seen, unless ``incremental`` is false; load times must not fall from run to run then.
+    ``parts`` is for tables still to be made: with more of them a small delivery rewrites less.
     """
     bronze, silver, gold = (f"{prefix}{layer}" for layer in LAYERS)
     for schema in (bronze, silver, gold):
@@ -41,11 +44,12 @@ def run(
     def refresh(name: str) -> None:
         raw, clean = f"{bronze}.{name}", f"{silver}.{name}"
         ingest(spark, SPECS[name], folders[name], raw, checkpoint_root, now)
-        silver_refresh(spark, SPECS[name], raw, clean, f"{clean}_rejects", now, since, buckets, incremental)
+        silver_refresh(spark, SPECS[name], raw, clean, f"{clean}_rejects", now, since, buckets, incremental, parts)
 
     # The feeds do not depend on each other, so their jobs share the cluster.
     with ThreadPoolExecutor(len(folders)) as pool:
         for _ in pool.map(inheritable_thread_target(spark)(refresh), folders):
             pass
-    gold_refresh(spark, {name: f"{silver}.{name}" for name in SPECS}, f"{gold}.output", now, consumer_id_type)
+    tables = {name: f"{silver}.{name}" for name in SPECS}
+    gold_refresh(spark, tables, f"{gold}.output", now, consumer_id_type, incremental, parts)
     return f"{gold}.output"

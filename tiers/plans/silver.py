@@ -8,10 +8,14 @@ from pyspark.sql import functions as F
 from tiers.functions.casts import align, typed, validate
 from tiers.operators.quality import REJECT_ID, latest_per_key, rejects, required_ok, row_id
 from tiers.session import tune
+from tiers.sinks.parted import PARTS
 from tiers.sinks.tables import append_rejects, upsert
 from tiers.sources.csv import load_time
 from tiers.specs import LOAD_TIMESTAMP, UPDATED_AT, EntitySpec
 
+#: What a change in any silver table is noted by: the gold output is one set of rows for each consumer.
+TRACKED = ("consumerid",)
+
 
 def clean_rows(bronze: DataFrame, spec: EntitySpec) -> DataFrame:
     """Typed, latest per key, complete: the silver rows without the time of the update.
@@ -55,13 +59,19 @@ def silver_refresh(
     since=None,
     buckets: int | None = None,
     incremental: bool = False,
+    parts: int = PARTS,
 ) -> None:
     """Bring one silver table and its reject log up to date with bronze.
 
+    A row replaces the one silver has for its key only if it was not loaded earlier, so deliveries may come late,
+    again or in any order. Silver lies in parts and notes the consumers of the rows that change, for the gold refresh;
+    with ``buckets`` it is a plain bucketed table that each refresh rewrites.
+
     Reads all of bronze, or only rows loaded after ``since``; given growing load times both end in the
     same silver rows. ``incremental`` goes on, for either table by itself, from the latest load time that
-    it holds, that time included: what a run that broke off had not written yet is read again. Clean and rejected rows come from two scans on purpose: the second is a filter with
-    no shuffle, which costs less than caching a bronze table would.
+    it holds, that time included: what a run that broke off had not written yet is read again. A delivery older than
+    that has to be read by a refresh that is not incremental. Clean and rejected rows come from two scans on
+    purpose: the second is a filter with no shuffle, which costs less than caching a bronze table would.
     """
     tune(spark)
     bronze = spark.table(bronze_table)
@@ -73,5 +83,6 @@ def silver_refresh(
         fresh, failed = (loaded_from(bronze, last_load(spark, table)) for table in (silver_table, reject_table))
     clean = clean_rows(fresh, spec).withColumn(UPDATED_AT, stamp)
     deduplicated = set(spec.primary_key) <= set(spec.merge_key)
-    upsert(spark, silver_table, clean, spec.merge_key, buckets, known_unique=deduplicated)
+    layout = {"buckets": buckets} if buckets else {"parts": parts, "track": TRACKED, "at": stamp}
+    upsert(spark, silver_table, clean, spec.merge_key, known_unique=deduplicated, newer=LOAD_TIMESTAMP, **layout)
     append_rejects(spark, reject_table, rejected_rows(failed, spec).withColumn(UPDATED_AT, stamp))

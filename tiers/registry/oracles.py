@@ -201,16 +201,16 @@ GOLD_COLUMNS = (
 )
 
 
-def gold(avocado: str = "sv_avocado", consumer_id: str = "a.consumerid") -> str:
+def gold(avocado: str = "sv_avocado", consumer_id: str = "a.consumerid", layer: str = "sv") -> str:
     return f"""
 select distinct {GOLD_COLUMNS} from (
     select {consumer_id} as consumer_id, sex, age, avocado_days_sold, ripe_index_when_picked as avocado_ripe_index,
            avocado_days_picked, type as fertilizer_type
     from (select *, {DAYS} from {avocado}) a
     left join (select p.purchaseid, p.consumerid, c.sex, c.age
-               from sv_purchase p left join sv_consumer c on p.consumerid = c.consumerid) b
+               from {layer}_purchase p left join {layer}_consumer c on p.consumerid = c.consumerid) b
            on a.purchaseid = b.purchaseid and a.consumerid = b.consumerid
-    left join sv_fertilizer f on a.purchaseid = f.purchaseid and a.consumerid = f.consumerid
+    left join {layer}_fertilizer f on a.purchaseid = f.purchaseid and a.consumerid = f.consumerid
     where avocado_days_sold > 0 and avocado_days_picked > 0)"""
 
 
@@ -390,6 +390,28 @@ def replaced_gold() -> str:
     return with_feeds(body, **steps)
 
 
+def gold_by_change() -> str:
+    """Gold of the second state, and of the first one for consumers that have no rows any more."""
+    by_load = f"load_timestamp {{}} timestamp '{MIDDLE}'"
+    moved = "select * replace (case when ends_with(purchaseid, '44') then '1' else consumerid end as consumerid) from bz_avocado"
+    sources = {
+        "avocado": (f"from bz_avocado where {by_load.format('<')}", f"from ({moved}) where {by_load.format('>=')}"),
+        "fertilizer": tuple(f"from bz_fertilizer where {by_load.format(op)}" for op in ("<", ">=")),
+        "purchase": tuple(f"from bz_purchase where graphed_date {op} '{MIDDLE}'" for op in ("<", ">=")),
+        "consumer": ("from (select * replace ('?' as sex) from bz_consumer)", "from bz_consumer where race in ('1', '3', '5')"),
+    }
+    steps = {}
+    for name, (first, second) in sources.items():
+        (key,) = SPECS[name].merge_key
+        steps[f"one_{name}"] = clean(SPECS[name], f"(select * {first})")
+        steps[f"new_{name}"] = clean(SPECS[name], f"(select * {second})")
+        kept = f"select * from one_{name} where {key} not in (select {key} from new_{name})"
+        steps[f"two_{name}"] = f"select * from new_{name} union all {kept}"
+    steps |= {"gold_one": gold("one_avocado", layer="one"), "gold_two": gold("two_avocado", layer="two")}
+    body = "select * from gold_two union all select * from gold_one where consumer_id not in (select consumer_id from gold_two)"
+    return with_feeds(body, **steps)
+
+
 def all_oracles() -> dict[str, str]:
     """Query name to SQL."""
     avocado, consumer, fertilizer, purchase = (SPECS[n] for n in ("avocado", "consumer", "fertilizer", "purchase"))
@@ -520,6 +542,8 @@ def all_oracles() -> dict[str, str]:
         "replace_by_key_gold": replaced_gold(),
         "reject_table_twice": with_feeds(restamped(rejected(fertilizer)), "fertilizer"),
         "silver_incremental": incremental(),
+        "silver_late_delivery": incremental(),
+        "gold_refresh_incremental": gold_by_change(),
         "gold_refresh": with_feeds(f"select *, '{LATER_RUN}' as updated_at from ({gold()})", **silver()),
         "bronze_to_gold": with_feeds(gold(), **silver(load_order=False)),
     }

@@ -23,11 +23,11 @@ from tiers.operators.quality import REJECT_ID, date_order, latest_per_key, posit
 from tiers.plans.adhoc import adhoc_output, explore_outer, purchase_view
 from tiers.plans.gold import gold_output, gold_output_outer_form, gold_refresh
 from tiers.plans.refresh import run
-from tiers.plans.silver import clean_rows, rejected_rows, silver_refresh
+from tiers.plans.silver import TRACKED, clean_rows, rejected_rows, silver_refresh
 from tiers.session import tune
 from tiers.sinks.export import TEXT_FORMAT, export_path, export_text
-from tiers.sinks.tables import append_rejects, ensure_schema, ensure_table, replace_by_key, upsert
-from tiers.sources.csv import read_drops, read_feed, scan_text, with_metadata
+from tiers.sinks.tables import LOAD_DAY, append_rejects, ensure_schema, ensure_table, replace_by_key, upsert
+from tiers.sources.csv import load_time, read_drops, read_feed, scan_text, with_metadata
 from tiers.sources.standins import feed
 from tiers.sources.workdir import new_folder
 from tiers.specs import (
@@ -49,6 +49,7 @@ RUN_TIME = "2024-03-01 06:00:00"
 LATER_RUN = "2024-03-02 06:00:00"
 EXPORT_DAY = date(2024, 3, 1)
 MIDDLE = "1998-05-01"  # splits a feed into an earlier and a later delivery
+PARTS_HERE = 8  # tables of the size of the samples
 SAMPLE_TABLES = (
     "benchmark",
     "conversations",
@@ -359,18 +360,19 @@ def adhoc(spark: SparkSession, folder: str) -> DataFrame:
 # Tables
 
 
-def upserted(keys: tuple[str, ...], buckets: int | None, spark: SparkSession, folder: str) -> DataFrame:
+def upserted(keys: tuple[str, ...], layout: dict[str, int], spark: SparkSession, folder: str) -> DataFrame:
     """Avocados loaded earlier, then those loaded later, into one table."""
     rows, table = feed(spark, folder, "avocado"), f"{_new_schema(spark, 'upsert')}.avocado"
     for part in (_earlier(rows, LOAD_TIMESTAMP), _later(rows, LOAD_TIMESTAMP)):
-        upsert(spark, table, clean_rows(part, AVOCADO), keys, buckets)
+        upsert(spark, table, clean_rows(part, AVOCADO), keys, **layout)
     return _readable(spark.table(table))
 
 
 def upsert_widened(spark: SparkSession, folder: str) -> DataFrame:
     """Earlier avocados without a column, then later ones with it: the table gains the column."""
     rows, table = feed(spark, folder, "avocado"), f"{_new_schema(spark, 'widen')}.avocado"
-    upsert(spark, table, clean_rows(_earlier(rows, LOAD_TIMESTAMP), AVOCADO).drop("sold_date"), ("purchaseid",))
+    earlier = clean_rows(_earlier(rows, LOAD_TIMESTAMP), AVOCADO).drop("sold_date")
+    upsert(spark, table, earlier, ("purchaseid",), parts=PARTS_HERE)
     upsert(spark, table, clean_rows(_later(rows, LOAD_TIMESTAMP), AVOCADO), ("purchaseid",))
     return _readable(spark.table(table))
 
@@ -380,7 +382,7 @@ def reject_log_widened(spark: SparkSession, folder: str) -> DataFrame:
     rows, table = feed(spark, folder, "avocado"), f"{_new_schema(spark, 'rejects')}.avocado_rejects"
     append_rejects(spark, table, rejected_rows(_earlier(rows, LOAD_TIMESTAMP), AVOCADO).drop("sold_date_raw"))
     append_rejects(spark, table, rejected_rows(rows, AVOCADO))
-    return _readable(spark.table(table).drop(REJECT_ID))
+    return _readable(spark.table(table).drop(REJECT_ID, LOAD_DAY))
 
 
 def created_table(spark: SparkSession, folder: str) -> DataFrame:
@@ -397,7 +399,7 @@ def replaced_gold(spark: SparkSession, folder: str) -> DataFrame:
     for part in (_earlier, _later):
         avocado = part(rows["avocado"], LOAD_TIMESTAMP)
         silver = {name: clean_rows(df, SPECS[name]) for name, df in {**rows, "avocado": avocado}.items()}
-        replace_by_key(spark, table, gold_output(**silver), ["consumer_id"])
+        replace_by_key(spark, table, gold_output(**silver), ["consumer_id"], PARTS_HERE)
     return spark.table(table)
 
 
@@ -405,7 +407,7 @@ def rejects_logged_twice(spark: SparkSession, folder: str) -> DataFrame:
     table = f"{_new_schema(spark, 'rejects')}.fertilizer_rejects"
     for _ in range(2):
         append_rejects(spark, table, rejected_rows(feed(spark, folder, "fertilizer"), FERTILIZER))
-    return _readable(spark.table(table).drop(REJECT_ID))
+    return _readable(spark.table(table).drop(REJECT_ID, LOAD_DAY))
 
 
 def silver_refreshed(name: str, spark: SparkSession, folder: str) -> DataFrame:
@@ -414,7 +416,7 @@ def silver_refreshed(name: str, spark: SparkSession, folder: str) -> DataFrame:
     ensure_table(spark, f"{schema}.bronze", spec.bronze_schema)
     feed(spark, folder, name).write.insertInto(f"{schema}.bronze")
     for now in (RUN_TIME, LATER_RUN):
-        silver_refresh(spark, spec, f"{schema}.bronze", f"{schema}.silver", f"{schema}.rejects", now)
+        silver_refresh(spark, spec, f"{schema}.bronze", f"{schema}.silver", f"{schema}.rejects", now, parts=PARTS_HERE)
     rows = spark.table(f"{schema}.silver")
     return _readable(rows.withColumn(UPDATED_AT, F.date_format(UPDATED_AT, "yyyy-MM-dd HH:mm:ss")))
 
@@ -431,15 +433,61 @@ def silver_incremental(spark: SparkSession, folder: str) -> DataFrame:
     return _readable(_stacked({"silver": silver, "rejects": rejects_}))
 
 
+def silver_late(spark: SparkSession, folder: str) -> DataFrame:
+    """The later delivery comes first, then the earlier one, then the later one again: newer rows stay."""
+    schema, rows = _new_schema(spark, "late"), feed(spark, folder, "avocado")
+    for name, part in (("first", _earlier), ("last", _later)):
+        ensure_table(spark, f"{schema}.{name}", AVOCADO.bronze_schema)
+        part(rows, LOAD_TIMESTAMP).write.insertInto(f"{schema}.{name}")
+    for name in ("last", "first", "last"):
+        silver_refresh(spark, AVOCADO, f"{schema}.{name}", f"{schema}.silver", f"{schema}.rejects", RUN_TIME, parts=PARTS_HERE)
+    silver = spark.table(f"{schema}.silver").select("purchaseid", "consumerid", "plu", LOAD_TIMESTAMP)
+    rejects_ = spark.table(f"{schema}.rejects").select("purchaseid", "consumerid", "plu", LOAD_TIMESTAMP)
+    return _readable(_stacked({"silver": silver, "rejects": rejects_}))
+
+
+def _two_deliveries(spark: SparkSession, folder: str) -> list[dict[str, DataFrame]]:
+    """All four feeds twice: the second time some consumers are corrected and some avocados go to another consumer."""
+    feeds = _feeds(spark, folder)
+    moved = F.when(F.col("purchaseid").endswith("44"), "1").otherwise(F.col("consumerid"))
+    first = {
+        "avocado": _earlier(feeds["avocado"], LOAD_TIMESTAMP),
+        "fertilizer": _earlier(feeds["fertilizer"], LOAD_TIMESTAMP),
+        "purchase": _earlier(feeds["purchase"], "graphed_date"),
+        "consumer": feeds["consumer"].withColumn("sex", F.lit("?")),
+    }
+    second = {
+        "avocado": _later(feeds["avocado"], LOAD_TIMESTAMP).withColumn("consumerid", moved),
+        "fertilizer": _later(feeds["fertilizer"], LOAD_TIMESTAMP),
+        "purchase": _later(feeds["purchase"], "graphed_date"),
+        "consumer": feeds["consumer"].where(F.col("race").isin("1", "3", "5")),
+    }
+    return [first, second]
+
+
+def gold_refreshed_by_change(spark: SparkSession, folder: str) -> DataFrame:
+    """Two deliveries to silver, gold refreshed after each; the second time only for consumers that changed."""
+    schema = _new_schema(spark, "gold")
+    silver = {name: f"{schema}.{name}" for name in SPECS}
+    for now, feeds in zip((RUN_TIME, LATER_RUN), _two_deliveries(spark, folder), strict=True):
+        for name, bronze in feeds.items():
+            upsert(
+                spark, silver[name], clean_rows(bronze, SPECS[name]), SPECS[name].merge_key, known_unique=True,
+                parts=PARTS_HERE, newer=LOAD_TIMESTAMP, track=TRACKED, at=load_time(now),
+            )
+        gold_refresh(spark, silver, f"{schema}.output", now, incremental=True, parts=PARTS_HERE)
+    return spark.table(f"{schema}.output").drop(UPDATED_AT)
+
+
 def gold_refreshed(spark: SparkSession, folder: str) -> DataFrame:
-    """Two refreshes of the gold table from silver tables stored in buckets."""
+    """Two refreshes of the gold table from silver tables stored in parts."""
     schema = _new_schema(spark, "gold")
     silver = {}
     for name, rows in _silver(spark, folder).items():
         silver[name] = f"{schema}.{name}"
-        upsert(spark, silver[name], rows, SPECS[name].merge_key, buckets=8)
+        upsert(spark, silver[name], rows, SPECS[name].merge_key, known_unique=True, parts=PARTS_HERE)
     for now in (RUN_TIME, LATER_RUN):
-        gold_refresh(spark, silver, f"{schema}.output", now)
+        gold_refresh(spark, silver, f"{schema}.output", now, parts=PARTS_HERE)
     rows = spark.table(f"{schema}.output")
     return rows.withColumn(UPDATED_AT, F.date_format(UPDATED_AT, "yyyy-MM-dd HH:mm:ss"))
 
@@ -500,16 +548,18 @@ def all_queries() -> dict[str, Query]:
         "export_text": exported_text,
         "adhoc_output": adhoc,
         "create_table": created_table,
-        "upsert_avocado": partial(upserted, ("purchaseid",), None),
-        "upsert_bucketed": partial(upserted, ("purchaseid",), 8),
-        "upsert_composite_key": partial(upserted, ("consumerid", "purchaseid"), None),
+        "upsert_avocado": partial(upserted, ("purchaseid",), {"parts": PARTS_HERE}),
+        "upsert_bucketed": partial(upserted, ("purchaseid",), {"buckets": 8}),
+        "upsert_composite_key": partial(upserted, ("consumerid", "purchaseid"), {"parts": PARTS_HERE}),
         "upsert_widened": upsert_widened,
         "reject_log_widened": reject_log_widened,
         "replace_by_key_gold": replaced_gold,
         "reject_table_twice": rejects_logged_twice,
         **_per_feed("silver_refresh", silver_refreshed),
         "silver_incremental": silver_incremental,
+        "silver_late_delivery": silver_late,
         "gold_refresh": gold_refreshed,
+        "gold_refresh_incremental": gold_refreshed_by_change,
         "bronze_to_gold": bronze_to_gold,
     }
     return {name: _tuned(query) for name, query in named.items()}

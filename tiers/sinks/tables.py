@@ -5,7 +5,9 @@ the two by renaming. Each table is expected to have one writer at a time; betwee
 table is briefly absent, and ``recover`` puts the old version back if the driver died exactly there.
 
 With ``buckets`` the table is stored hash-bucketed by its key: the next upsert then joins the old version
-without moving it, and joins on the key read the buckets in place.
+without moving it, and joins on the key read the buckets in place. With ``parts`` (`tiers.sinks.parted`) a
+change rewrites only the parts its keys fall into, and no reader finds the table absent; a table keeps the
+layout it was created with.
 """
 
 from __future__ import annotations
@@ -15,11 +17,13 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tiers.operators.quality import REJECT_ID
+from tiers.sinks import parted
+from tiers.specs import LOAD_TIMESTAMP
 
 
 def ensure_schema(spark: SparkSession, name: str, location: str | None = None) -> None:
@@ -85,6 +89,7 @@ def _merge(
     buckets: int | None,
     unique: bool,
     check: bool,
+    newer: str | None = None,
 ) -> None:
     """Write the source as the successor, add the old rows it does not replace, and swap.
 
@@ -98,6 +103,8 @@ def _merge(
             raise ValueError(f"source lacks columns of {table}: {', '.join(lacking)}")
     fresh, old = f"{table}__fresh_{uuid.uuid4().hex[:8]}", f"{table}__old"
     exists = spark.catalog.tableExists(table)
+    if newer and exists:
+        source = _without_late_rows(source, spark.table(table), keys, newer)
     # The source is computed once, straight into the successor; everything below reads it from there.
     create_from(source, fresh, keys, buckets)
     if check:
@@ -122,6 +129,12 @@ def _merge(
     spark.sql(f"DROP TABLE {old}")
 
 
+def _without_late_rows(source: DataFrame, target: DataFrame, keys: Sequence[str], newer: str) -> DataFrame:
+    old = target.select(*[F.col(k).alias(f"_old_{k}") for k in keys], F.col(newer).alias("_version"))
+    same = reduce(and_, [F.col(k) == F.col(f"_old_{k}") for k in keys])
+    return source.join(old, same & ~parted.not_older(F.col(newer), F.col("_version")), "left_anti")
+
+
 def upsert(
     spark: SparkSession,
     table: str,
@@ -129,29 +142,64 @@ def upsert(
     keys: Sequence[str],
     buckets: int | None = None,
     known_unique: bool = False,
+    parts: int | None = None,
+    newer: str | None = None,
+    track: Sequence[str] = (),
+    at: Column | None = None,
 ) -> None:
     """Rows with a known key replace the old row, others are added; the first call creates the table.
 
     Refuses a source with several rows for one key, leaving the table as it was; a source deduplicated by
-    the same key can skip the check. NULL keys match nothing, so such rows are added each time.
+    the same key can skip the check. NULL keys match nothing, so such rows are added each time. ``newer``
+    names a column: a row does not replace one with a later value in it (NULL is earlier than any value).
+    A table with ``parts`` notes the values of the ``track`` columns in changed rows, old and new, with the
+    time ``at`` (see `parted.changes_of`).
     """
-    _merge(spark, table, source, keys, buckets, unique=True, check=not known_unique)
+    if parts or parted.is_parted(spark, table):
+        check = None if known_unique else lambda rows: refuse_repeated_keys(rows, keys)
+        parted.merge(spark, table, source, keys, parts, True, check, newer, track, at)
+        return
+    _merge(spark, table, source, keys, buckets, unique=True, check=not known_unique, newer=newer)
 
 
-def replace_by_key(spark: SparkSession, table: str, source: DataFrame, keys: Sequence[str]) -> None:
+def replace_by_key(
+    spark: SparkSession, table: str, source: DataFrame, keys: Sequence[str], parts: int | None = None
+) -> None:
     """All old rows of the keys in the source go, all rows of the source come: for keys with many rows."""
+    if parts or parted.is_parted(spark, table):
+        parted.merge(spark, table, source, keys, parts, unique=False)
+        return
     _merge(spark, table, source, keys, None, unique=False, check=False)
 
 
+LOAD_DAY = "load_day"
+
+
 def append_rejects(spark: SparkSession, table: str, rows: DataFrame) -> None:
     """Append the rejects not logged yet; seeing the same bronze rows again adds nothing.
 
-    New columns widen the log; in columns that the rows lack they are logged as NULL.
+    A log of rows with a load time is partitioned by its day, and only the days at hand are looked through. New
+    columns widen the log; in columns that the rows lack they are logged as NULL.
     """
+    if LOAD_TIMESTAMP in rows.columns:
+        rows = rows.withColumn(LOAD_DAY, F.to_date(LOAD_TIMESTAMP))
     if not spark.catalog.tableExists(table):
-        rows.write.saveAsTable(table)
+        by_day = [LOAD_DAY] if LOAD_DAY in rows.columns else []
+        rows.write.partitionBy(*by_day).saveAsTable(table)
         return
     add_missing_columns(spark, table, rows.schema)
-    logged = spark.table(table)
-    new = rows.join(logged.select(REJECT_ID), REJECT_ID, "left_anti")
-    aligned(new, logged.schema).write.insertInto(table)
+    stage = f"{table}__fresh_{uuid.uuid4().hex[:8]}"
+    rows.write.saveAsTable(stage)
+    new = new_rejects(spark.table(stage), spark.table(table))
+    aligned(new, spark.table(table).schema).write.insertInto(table)
+    spark.sql(f"DROP TABLE {stage}")
+
+
+def new_rejects(rows: DataFrame, logged: DataFrame) -> DataFrame:
+    """The rows that the log does not hold; it is read on the days of the rows only."""
+    if LOAD_DAY in rows.columns and LOAD_DAY in logged.columns:
+        days = [r[0] for r in rows.select(LOAD_DAY).distinct().collect()]
+        known = [d for d in days if d is not None]
+        held = F.col(LOAD_DAY).isin(known) if known else F.lit(False)
+        logged = logged.where(held | F.col(LOAD_DAY).isNull() if None in days else held)
+    return rows.join(logged.select(REJECT_ID), REJECT_ID, "left_anti")
