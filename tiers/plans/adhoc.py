@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tiers.functions.casts import trim_or_keep, typed_projection
 from tiers.functions.dates import day_counts
 from tiers.functions.names import normalize_names
-from tiers.operators.joins import spread_join
+from tiers.operators.joins import Probe, spread_join
 from tiers.operators.profile import profile_report
 from tiers.operators.quality import date_order, latest_per_key, required_ok
 from tiers.session import tune
@@ -47,9 +47,9 @@ def purchase_view(
     )
     bought = required_ok(typed_projection(purchase, PURCHASE), PURCHASE_KEY).select(*PURCHASE_KEY)
     rows = spread_join(bought, buyers, ["consumerid"], **spread)
-    # Counting keys needs no deduplicated rows.
+    # Looking for frequent keys needs neither deduplicated rows nor the rules for dates.
     rows = spread_join(rows, treatments, PURCHASE_KEY, right_probes=[typed_projection(fertilizer, FERTILIZER)], **spread)
-    rows = spread_join(rows, fruits, PURCHASE_KEY, **spread)
+    rows = spread_join(rows, fruits, PURCHASE_KEY, right_probes=[typed_projection(avocado, AVOCADO)], **spread)
     return rows.select(
         "consumerid",
         "sex",
@@ -70,10 +70,12 @@ def explore_outer(
     """
     avocado = _own_names(avocado, "avocado", purchase)
     fertilizer = _own_names(fertilizer, "fertilizer", purchase)
-    rows = spread_join(consumer, purchase, ["consumerid"], "full", **spread)
-    rows = spread_join(rows, avocado, ["purchaseid"], "full", left_probes=[purchase], **spread)
+    bought = Probe(purchase, ["consumerid"], ["purchaseid"])
+    picked, treated = Probe(avocado, ["purchaseid"]), Probe(fertilizer, ["purchaseid"])
+    rows = spread_join(consumer, purchase, ["consumerid"], "full", right_probes=[bought], **spread)
+    rows = spread_join(rows, avocado, ["purchaseid"], "full", left_probes=[bought], right_probes=[picked], **spread)
     return spread_join(
-        rows, fertilizer, ["purchaseid"], "full", left_probes=[purchase, avocado], **spread
+        rows, fertilizer, ["purchaseid"], "full", left_probes=[bought, picked], right_probes=[treated], **spread
     )
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tiers.functions.casts import align
 from tiers.functions.dates import day_counts
-from tiers.operators.joins import spread_join
+from tiers.operators.joins import Probe, spread_join
 from tiers.operators.quality import positive_durations
 from tiers.session import tune
 from tiers.sinks import parted
@@ -33,6 +33,8 @@ def gold_output(
     fertilizer: DataFrame,
     purchase: DataFrame,
     consumer_id_type: str = "string",
+    fertilizer_probe: DataFrame | None = None,
+    bucketed: bool = False,
     **spread,
 ) -> DataFrame:
     """The output rows, without the time of the update.
@@ -42,14 +44,21 @@ def gold_output(
     consumer joins last, on the key by which equal output rows already lie together, so removing
     duplicates needs no further shuffle, unless avocados of a consumer with very many are split up for
     it. A consumer counts only through an existing purchase.
+
+    Silver holds one row for each consumer, purchase and avocado, so only fertilizers can pile up under a key
+    on the right; ``fertilizer_probe`` is a table that holds at least their keys and is cheaper to read. Avocados
+    of one consumer are on the left, which adaptive execution splits, except against ``bucketed`` tables.
     """
     fruits = positive_durations(day_counts(avocado)).select(*PURCHASE_KEY, *FRUIT)
     bought = purchase.select(*PURCHASE_KEY, F.lit(True).alias("bought"))
     treatments = fertilizer.select(*PURCHASE_KEY, F.col("type").alias("fertilizer_type"))
     buyers = consumer.select("consumerid", "sex", "age")
+    probe = treatments if fertilizer_probe is None else fertilizer_probe
     rows = fruits.join(bought, PURCHASE_KEY, "left")
-    rows = spread_join(rows, treatments, PURCHASE_KEY, **spread)
-    rows = spread_join(rows, buyers, ["consumerid"], left_probes=[fruits], split_left=True, **spread)
+    rows = spread_join(rows, treatments, PURCHASE_KEY, right_probes=[probe], **spread)
+    rows = spread_join(
+        rows, buyers, ["consumerid"], left_probes=[fruits], right_probes=[], split_left=bucketed, **spread
+    )
     rows = rows.withColumns({c: F.when(F.col("bought"), F.col(c)) for c in ("sex", "age")})
     return _finish(rows, consumer_id_type)
 
@@ -66,9 +75,11 @@ def gold_output_outer_form(
     fruits = day_counts(avocado).select(*PURCHASE_KEY, *FRUIT)
     treatments = fertilizer.select(*PURCHASE_KEY, F.col("type").alias("fertilizer_type"))
     bought = purchase.select(*PURCHASE_KEY)
-    rows = spread_join(consumer.select("consumerid", "sex", "age"), bought, ["consumerid"], "full", **spread)
-    rows = spread_join(rows, fruits, PURCHASE_KEY, "full", left_probes=[bought], **spread)
-    rows = spread_join(rows, treatments, PURCHASE_KEY, "full", left_probes=[bought, fruits], **spread)
+    probe = Probe(bought, ["consumerid"], PURCHASE_KEY)
+    buyers = consumer.select("consumerid", "sex", "age")
+    rows = spread_join(buyers, bought, ["consumerid"], "full", left_probes=[], right_probes=[probe], **spread)
+    rows = spread_join(rows, fruits, PURCHASE_KEY, "full", left_probes=[probe], right_probes=[], **spread)
+    rows = spread_join(rows, treatments, PURCHASE_KEY, "full", left_probes=[probe, fruits], **spread)
     return _finish(positive_durations(rows), consumer_id_type)
 
 
@@ -94,7 +105,8 @@ def gold_refresh(
     last = refreshed_until(spark, gold_table) if incremental and seen else None
     if last:
         frames = only_consumers(frames, changed_consumers(spark, silver, last))
-    rows = gold_output(**frames, consumer_id_type=consumer_id_type).withColumn(UPDATED_AT, stamp)
+    bucketed = not all(parted.is_parted(spark, table) for table in silver.values())
+    rows = gold_output(**frames, consumer_id_type=consumer_id_type, bucketed=bucketed).withColumn(UPDATED_AT, stamp)
     replace_by_key(spark, gold_table, rows, ["consumer_id"], parts)
     if seen:
         spark.sql(f"ALTER TABLE {parted.store_of(gold_table)} SET TBLPROPERTIES ('{REFRESHED_UNTIL}' = '{seen}')")

@@ -26,7 +26,7 @@ from tiers.plans.refresh import run
 from tiers.plans.silver import TRACKED, clean_rows, rejected_rows, silver_refresh
 from tiers.session import tune
 from tiers.sinks.export import TEXT_FORMAT, export_path, export_text
-from tiers.sinks.tables import LOAD_DAY, append_rejects, ensure_schema, ensure_table, replace_by_key, upsert
+from tiers.sinks.tables import LOAD_MONTH, append_rejects, ensure_schema, ensure_table, replace_by_key, upsert
 from tiers.sources.csv import load_time, read_drops, read_feed, scan_text, with_metadata
 from tiers.sources.standins import feed
 from tiers.sources.workdir import new_folder
@@ -328,12 +328,14 @@ def everything(spark: SparkSession, folder: str) -> DataFrame:
     return explore_outer(**{name: _business(df) for name, df in _feeds(spark, folder).items()})
 
 
-def gold(spark: SparkSession, folder: str) -> DataFrame:
-    return gold_output(**_silver(spark, folder))
+def gold(spark: SparkSession, folder: str, **more) -> DataFrame:
+    # The feed holds every key that silver, derived from it here, can have.
+    probe = typed_projection(feed(spark, folder, "fertilizer"), FERTILIZER)
+    return gold_output(**_silver(spark, folder), fertilizer_probe=probe, **more)
 
 
 def gold_numbered(spark: SparkSession, folder: str) -> DataFrame:
-    return gold_output(**_silver(spark, folder), consumer_id_type="bigint")
+    return gold(spark, folder, consumer_id_type="bigint")
 
 
 def gold_outer_form(spark: SparkSession, folder: str) -> DataFrame:
@@ -382,7 +384,7 @@ def reject_log_widened(spark: SparkSession, folder: str) -> DataFrame:
     rows, table = feed(spark, folder, "avocado"), f"{_new_schema(spark, 'rejects')}.avocado_rejects"
     append_rejects(spark, table, rejected_rows(_earlier(rows, LOAD_TIMESTAMP), AVOCADO).drop("sold_date_raw"))
     append_rejects(spark, table, rejected_rows(rows, AVOCADO))
-    return _readable(spark.table(table).drop(REJECT_ID, LOAD_DAY))
+    return _readable(spark.table(table).drop(REJECT_ID, LOAD_MONTH))
 
 
 def created_table(spark: SparkSession, folder: str) -> DataFrame:
@@ -407,7 +409,7 @@ def rejects_logged_twice(spark: SparkSession, folder: str) -> DataFrame:
     table = f"{_new_schema(spark, 'rejects')}.fertilizer_rejects"
     for _ in range(2):
         append_rejects(spark, table, rejected_rows(feed(spark, folder, "fertilizer"), FERTILIZER))
-    return _readable(spark.table(table).drop(REJECT_ID, LOAD_DAY))
+    return _readable(spark.table(table).drop(REJECT_ID, LOAD_MONTH))
 
 
 def silver_refreshed(name: str, spark: SparkSession, folder: str) -> DataFrame:

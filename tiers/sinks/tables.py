@@ -172,20 +172,23 @@ def replace_by_key(
     _merge(spark, table, source, keys, None, unique=False, check=False)
 
 
-LOAD_DAY = "load_day"
+LOAD_MONTH = "load_month"
 
 
 def append_rejects(spark: SparkSession, table: str, rows: DataFrame) -> None:
     """Append the rejects not logged yet; seeing the same bronze rows again adds nothing.
 
-    A log of rows with a load time is partitioned by its day, and only the days at hand are looked through. New
-    columns widen the log; in columns that the rows lack they are logged as NULL.
+    A log of rows with a load time is partitioned by its month (few files, however many days a first load spans), and
+    only the months and days at hand are looked through. New columns widen the log; in columns that the rows lack they
+    are logged as NULL.
     """
     if LOAD_TIMESTAMP in rows.columns:
-        rows = rows.withColumn(LOAD_DAY, F.to_date(LOAD_TIMESTAMP))
+        rows = rows.withColumn(LOAD_MONTH, F.trunc(LOAD_TIMESTAMP, "month"))
+    by_month = [LOAD_MONTH] if LOAD_MONTH in rows.columns else []
+    if by_month:
+        rows = rows.hint("rebalance", LOAD_MONTH)
     if not spark.catalog.tableExists(table):
-        by_day = [LOAD_DAY] if LOAD_DAY in rows.columns else []
-        rows.write.partitionBy(*by_day).saveAsTable(table)
+        rows.write.partitionBy(*by_month).saveAsTable(table)
         return
     add_missing_columns(spark, table, rows.schema)
     stage = f"{table}__fresh_{uuid.uuid4().hex[:8]}"
@@ -196,10 +199,15 @@ def append_rejects(spark: SparkSession, table: str, rows: DataFrame) -> None:
 
 
 def new_rejects(rows: DataFrame, logged: DataFrame) -> DataFrame:
-    """The rows that the log does not hold; it is read on the days of the rows only."""
-    if LOAD_DAY in rows.columns and LOAD_DAY in logged.columns:
-        days = [r[0] for r in rows.select(LOAD_DAY).distinct().collect()]
-        known = [d for d in days if d is not None]
-        held = F.col(LOAD_DAY).isin(known) if known else F.lit(False)
-        logged = logged.where(held | F.col(LOAD_DAY).isNull() if None in days else held)
+    """The rows that the log does not hold; it is read in the load months of the rows, from their first to their last day."""
+    if LOAD_MONTH in rows.columns and LOAD_MONTH in logged.columns:
+        loaded = F.col(LOAD_TIMESTAMP)
+        spans = rows.groupBy(LOAD_MONTH).agg(F.min(loaded).alias("first"), F.max(loaded).alias("last")).collect()
+        months = [r[LOAD_MONTH] for r in spans if r[LOAD_MONTH] is not None]
+        held = F.lit(False)
+        if months:
+            first, last = min(r["first"] for r in spans if r["first"]), max(r["last"] for r in spans if r["last"])
+            held = F.col(LOAD_MONTH).isin(months) & loaded.between(F.lit(first), F.lit(last))
+        unknown = len(months) < len(spans)
+        logged = logged.where(held | F.col(LOAD_MONTH).isNull() if unknown else held)
     return rows.join(logged.select(REJECT_ID), REJECT_ID, "left_anti")
