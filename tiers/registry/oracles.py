@@ -454,6 +454,16 @@ def all_oracles() -> dict[str, str]:
                 from bz_purchase""",
         ),
         "ingest_stream_as_found": with_feeds(f"select {business(avocado)} from bz_avocado", "avocado"),
+        "ingest_stream_inferred": with_feeds(
+            "select * replace ("
+            + columns(
+                *[f"cast({c} as integer) as {c}" for c in ("purchaseid", "avocado_bunch_id", "plu")],
+                *[f"cast({c} as date) as {c}" for c in ("born_date", "picked_date", "sold_date")],
+            )
+            + f") from (select {business(avocado)} from bz_avocado)",
+            "avocado",
+        ),
+        "ingest_stream_drift": split_purchases,
         "normalize_names": with_feeds(
             f"select {business(purchase)}, regexp_replace(qa_process, '[^a-zA-Z0-9]', '_', 'g') as qa_identifier "
             "from bz_purchase",

@@ -41,6 +41,7 @@ from tiers.specs import (
     UPDATED_AT,
     EntitySpec,
 )
+from tiers.streaming.drift import BATCH, ingest_drifting
 from tiers.streaming.ingest import ingest, ingest_as_found
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -192,6 +193,30 @@ def ingest_stream_as_found(spark: SparkSession, folder: str) -> DataFrame:
     return _business(spark.table(table))
 
 
+def ingest_stream_inferred(spark: SparkSession, folder: str) -> DataFrame:
+    """A feed taken in under the names of its header and with types that fit its values."""
+    root, schema = new_folder(spark, "inferred"), _new_schema(spark, "inferred")
+    rows, table = feed(spark, folder, "avocado"), f"{schema}.avocado"
+    for part in (_earlier, _later):
+        _deliver(raw_feed(part(rows, LOAD_TIMESTAMP), AVOCADO), f"{root}/avocado")
+        ingest_as_found(spark, "avocado", f"{root}/avocado", table, f"{root}/checkpoints", RUN_TIME, infer_types=True)
+    return _business(spark.table(table))
+
+
+def ingest_stream_drift(spark: SparkSession, folder: str) -> DataFrame:
+    """One folder, three headers: the second has other places for its columns, the third one column more."""
+    root, schema = new_folder(spark, "drift"), _new_schema(spark, "drift")
+    rows, table, path = feed(spark, folder, "purchase"), f"{schema}.purchase", f"{root}/purchase"
+    earlier, later = raw_feed(_earlier(rows, "graphed_date"), PURCHASE), raw_feed(_later(rows, "graphed_date"), PURCHASE)
+    moved = F.col("graphed_date") < "1994-01-01"
+    _deliver(earlier.where(moved).drop("price_index").select(*reversed(earlier.drop("price_index").columns)), path)
+    _deliver(earlier.where(~moved).drop("price_index"), path)
+    _deliver(later, path)
+    for _ in range(2):
+        ingest_drifting(spark, "purchase", path, table, f"{root}/checkpoints", RUN_TIME, spec=PURCHASE, files_per_batch=3)
+    return _business(spark.table(table)).drop(BATCH)
+
+
 # Names, types, flags
 
 
@@ -524,6 +549,8 @@ def all_queries() -> dict[str, Query]:
         "ingest_stream_evolve": ingest_stream_evolve,
         "evolve_to_silver": evolve_to_silver,
         "ingest_stream_as_found": ingest_stream_as_found,
+        "ingest_stream_inferred": ingest_stream_inferred,
+        "ingest_stream_drift": ingest_stream_drift,
         "normalize_names": normalized_names,
         **_per_feed("typed", typed_feed),
         "trim_or_keep": trimmed_or_kept,

@@ -13,8 +13,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tiers.functions.names import normal_name, rename_feed
 from tiers.sinks.tables import add_missing_columns, ensure_table
-from tiers.sources.csv import load_time
+from tiers.sources.csv import load_time, scan_text
 from tiers.specs import LOAD_TIMESTAMP, RAW_FILE_NAME, EntitySpec
+from tiers.streaming.inference import inferred
 
 
 def stream_files(
@@ -30,14 +31,17 @@ def stream_files(
 def found_schema(spark: SparkSession, folder: str, table: str, infer_types: bool = False) -> T.StructType:
     """Columns under the names in the header, for feeds without a spec.
 
-    All text, or with inferred types, which takes a pass over the files. A column the table already has
-    keeps the type it got there, so that a later run cannot read it differently.
+    A column the table already has keeps the type it got there, so that a later run cannot read it differently. New
+    ones are text, or with inferred types get the narrowest type that fits their values, which takes a pass over
+    just these columns; without new columns nothing is read but a header.
     """
-    found = spark.read.option("header", True).option("inferSchema", infer_types).csv(folder).schema
+    found = scan_text(spark, folder)
     known = {}
     if spark.catalog.tableExists(table):
         known = {f.name: f.dataType for f in spark.table(table).schema}
-    return T.StructType([T.StructField(f.name, known.get(normal_name(f.name), f.dataType)) for f in found])
+    new = [c for c in found.columns if normal_name(c) not in known]
+    kinds = inferred(found, new) if infer_types else dict.fromkeys(new, T.StringType())
+    return T.StructType([T.StructField(c, known.get(normal_name(c)) or kinds[c]) for c in found.columns])
 
 
 def write_stream(rows: DataFrame, table: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
