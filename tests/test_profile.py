@@ -1,6 +1,7 @@
 import math
 
 import pytest
+from pyspark.sql import functions as F
 
 from tiers.operators.profile import (
     full_row_duplicates,
@@ -8,6 +9,7 @@ from tiers.operators.profile import (
     missing_counts,
     profile,
     profile_report,
+    repeats,
     row_count,
 )
 
@@ -79,3 +81,54 @@ def test_profile_scans_once_and_moves_one_row_per_task(spark, tmp_path):
     spark.range(1000).selectExpr("cast(id as string) as a", "id as b").write.parquet(str(tmp_path / "t"))
     plan = profile(spark.read.parquet(str(tmp_path / "t")))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan") == 1 and plan.count("Exchange SinglePartition") == plan.count("Exchange") == 1
+
+
+def test_rows_that_only_share_a_hash_are_no_duplicates(spark):
+    df = spark.createDataFrame([(1, "a"), (1, "a"), (2, "b"), (3, None), (3, None), (4, "a")], "k int, v string")
+
+    def same_for_all(_):
+        return [F.lit(1), F.lit(2)]
+
+    assert full_row_duplicates(df, key=same_for_all).first()[0] == 2
+    assert full_row_duplicates(df).first()[0] == 2
+    assert repeats(df, ["k"]).first().asDict() == {"row_count": 6, "duplicate_rows": 2, "duplicate_keys": 2}
+
+
+def test_content_keys_tell_rows_apart_as_grouping_does(spark):
+    nan = float("nan")
+    data = [(None, "a", 0.0), ("a", None, 0.0), ("a", None, -0.0), ("a", "", nan), ("a", "", nan), ("", "a", 1.0), (None, None, None)]
+    df = spark.createDataFrame(data, "a string, b string, c double")
+    wanted = len(data) - df.distinct().count()
+    assert full_row_duplicates(df).first()[0] == wanted == 2
+    assert repeats(df, ["a"]).first()["duplicate_rows"] == wanted
+    wide = spark.createDataFrame([([1], {"x": 1}["x"], ("p", 2))] * 2, "a array<int>, b int, s struct<p string, q int>")
+    assert full_row_duplicates(wide).first()[0] == 1
+
+
+def test_whole_rows_are_not_the_key_of_the_main_shuffle(spark, tmp_path):
+    spark.range(1000).selectExpr("cast(id as string) as a", "id as b").write.parquet(str(tmp_path / "t"))
+    rows = spark.read.parquet(str(tmp_path / "t"))
+    plan = full_row_duplicates(rows)._jdf.queryExecution().executedPlan().toString()
+    keys = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert any("_content_1" in k for k in keys) and len([k for k in keys if "_content_1" not in k]) == 1
+    # The comparison of whole rows is above the join that leaves only rows with a repeated key.
+    assert plan.index("hashpartitioning(a#") < plan.index("LeftSemi") < plan.index("hashpartitioning(_content_1")
+
+
+def test_the_report_takes_one_scan(spark, tmp_path):
+    spark.range(1000).selectExpr("cast(id % 900 as string) as a", "id % 900 as b").write.parquet(str(tmp_path / "t"))
+    rows = spark.read.parquet(str(tmp_path / "t"))
+    plan = repeats(rows, ["b"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and plan.count("Expand") == 1
+    report = profile_report(rows, ["b"])
+    after = report._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan" not in after  # what the one job found is in the report
+    found = {(r["column_name"], r["figure"]): r["value"] for r in report.collect()}
+    assert found["*", "row_count"] == "1000" and found["*", "duplicate_rows"] == "100" and found["*", "duplicate_keys"] == "100"
+    assert found["a", "number_max"] == "899.000000" and found["b", "missing"] == "0"
+
+
+def test_a_report_of_nothing(spark):
+    found = profile_report(spark.createDataFrame([], "a string, b int"), ["b"]).collect()
+    assert {(r["column_name"], r["figure"]): r["value"] for r in found}["*", "row_count"] == "0"
+    assert len(found) == 2 * 9 + 3
