@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tiers.functions.casts import align, typed, validate
+from tiers.operators.counts import counted, rows_seen
 from tiers.operators.quality import REJECT_ID, latest_per_key, rejects, required_ok, row_id
 from tiers.session import tune
 from tiers.sinks.parted import PARTS
@@ -60,7 +61,7 @@ def silver_refresh(
     buckets: int | None = None,
     incremental: bool = False,
     parts: int = PARTS,
-) -> None:
+) -> dict[str, int]:
     """Bring one silver table and its reject log up to date with bronze.
 
     A row replaces the one silver has for its key only if it was not loaded earlier, so deliveries may come late,
@@ -72,6 +73,9 @@ def silver_refresh(
     it holds, that time included: what a run that broke off had not written yet is read again. A delivery older than
     that has to be read by a refresh that is not incremental. Clean and rejected rows come from two scans on
     purpose: the second is a filter with no shuffle, which costs less than caching a bronze table would.
+
+    Returns how many bronze rows were read for silver, how many of them were kept and how many rows were rejected,
+    logged before or not; the writes count them on the way.
     """
     tune(spark)
     bronze = spark.table(bronze_table)
@@ -81,8 +85,11 @@ def silver_refresh(
     fresh, failed = bronze, bronze
     if incremental:
         fresh, failed = (loaded_from(bronze, last_load(spark, table)) for table in (silver_table, reject_table))
-    clean = clean_rows(fresh, spec).withColumn(UPDATED_AT, stamp)
+    fresh, came = counted(fresh)
+    clean, kept = counted(clean_rows(fresh, spec).withColumn(UPDATED_AT, stamp))
     deduplicated = set(spec.primary_key) <= set(spec.merge_key)
     layout = {"buckets": buckets} if buckets else {"parts": parts, "track": TRACKED, "at": stamp}
     upsert(spark, silver_table, clean, spec.merge_key, known_unique=deduplicated, newer=LOAD_TIMESTAMP, **layout)
-    append_rejects(spark, reject_table, rejected_rows(failed, spec).withColumn(UPDATED_AT, stamp))
+    bad, rejected = counted(rejected_rows(failed, spec).withColumn(UPDATED_AT, stamp))
+    append_rejects(spark, reject_table, bad)
+    return {"rows_in": rows_seen(came), "kept": rows_seen(kept), "rejected": rows_seen(rejected)}

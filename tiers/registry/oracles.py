@@ -412,6 +412,19 @@ def gold_by_change() -> str:
     return with_feeds(body, **steps)
 
 
+def counted_loads() -> str:
+    parts = []
+    for name, spec in SPECS.items():
+        for layer, figure, rows in (
+            ("bronze", "rows_in", f"bz_{name}"),
+            ("silver", "rows_in", f"bz_{name}"),
+            ("silver", "kept", f"({clean(spec, load_order=False)})"),
+            ("silver", "rejected", f"({rejected(spec)})"),
+        ):
+            parts.append(f"select '{name}' as feed, '{layer}' as layer, '{figure}' as figure, count(*) as row_count from {rows}")
+    return with_feeds("\nunion all ".join(parts))
+
+
 def all_oracles() -> dict[str, str]:
     """Query name to SQL."""
     avocado, consumer, fertilizer, purchase = (SPECS[n] for n in ("avocado", "consumer", "fertilizer", "purchase"))
@@ -556,6 +569,7 @@ def all_oracles() -> dict[str, str]:
         "gold_refresh_incremental": gold_by_change(),
         "gold_refresh": with_feeds(f"select *, '{LATER_RUN}' as updated_at from ({gold()})", **silver()),
         "bronze_to_gold": with_feeds(gold(), **silver(load_order=False)),
+        "load_counts": counted_loads(),
     }
     # Raw files carry no load time, so only the values decide which fertilizer row of an id is kept.
     view = purchase_view().replace("load_timestamp desc nulls last, ", "")

@@ -22,7 +22,7 @@ from tiers.operators.profile import full_row_duplicates, key_duplicates, missing
 from tiers.operators.quality import REJECT_ID, date_order, latest_per_key, positive_durations
 from tiers.plans.adhoc import adhoc_output, explore_outer, purchase_view
 from tiers.plans.gold import gold_output, gold_output_outer_form, gold_refresh
-from tiers.plans.refresh import run
+from tiers.plans.refresh import LOAD_COUNTS, run
 from tiers.plans.silver import TRACKED, clean_rows, rejected_rows, silver_refresh
 from tiers.session import tune
 from tiers.sinks.export import TEXT_FORMAT, export_path, export_text
@@ -519,16 +519,24 @@ def gold_refreshed(spark: SparkSession, folder: str) -> DataFrame:
     return rows.withColumn(UPDATED_AT, F.date_format(UPDATED_AT, "yyyy-MM-dd HH:mm:ss"))
 
 
-def bronze_to_gold(spark: SparkSession, folder: str) -> DataFrame:
-    """CSV folders in, gold table out."""
+def _run_all(spark: SparkSession, folder: str) -> tuple[str, str]:
+    """CSV folders in, all tables out; returns the prefix of their schemas and the name of the gold table."""
     root = new_folder(spark, "run")
     folders = {}
     for name, bronze in _feeds(spark, folder).items():
         folders[name] = f"{root}/feeds/{name}"
         _deliver(raw_feed(bronze, SPECS[name]), folders[name])
     prefix = root.rsplit("/", 1)[1].replace("-", "_") + "_"
-    table = run(spark, folders, f"{root}/checkpoints", prefix, root, now=RUN_TIME)
-    return spark.table(table).drop(UPDATED_AT)
+    return prefix, run(spark, folders, f"{root}/checkpoints", prefix, root, now=RUN_TIME, parts=PARTS_HERE)
+
+
+def bronze_to_gold(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.table(_run_all(spark, folder)[1]).drop(UPDATED_AT)
+
+
+def load_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows that the run took in, kept and rejected, as its writes counted them."""
+    return spark.table(f"{_run_all(spark, folder)[0]}silver.{LOAD_COUNTS}").drop(UPDATED_AT)
 
 
 def _per_feed(prefix: str, query: Callable[..., DataFrame]) -> dict[str, Query]:
@@ -590,5 +598,6 @@ def all_queries() -> dict[str, Query]:
         "gold_refresh": gold_refreshed,
         "gold_refresh_incremental": gold_refreshed_by_change,
         "bronze_to_gold": bronze_to_gold,
+        "load_counts": load_counts,
     }
     return {name: _tuned(query) for name, query in named.items()}

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tiers.functions.names import normal_name, rename_feed
+from tiers.operators.counts import counted_stream
 from tiers.sinks.tables import add_missing_columns, ensure_table
 from tiers.sources.csv import load_time, scan_text
 from tiers.specs import LOAD_TIMESTAMP, RAW_FILE_NAME, EntitySpec
@@ -47,7 +48,7 @@ def found_schema(spark: SparkSession, folder: str, table: str, infer_types: bool
 def write_stream(rows: DataFrame, table: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
     """Append to a table: everything there is (returning when done), or continuously at an interval."""
     trigger = {"processingTime": every} if every else {"availableNow": True}
-    writer = rows.writeStream.option("checkpointLocation", checkpoint).trigger(**trigger)
+    writer = counted_stream(rows).writeStream.option("checkpointLocation", checkpoint).trigger(**trigger)
     query = writer.toTable(table)
     if not every:
         query.awaitTermination()
