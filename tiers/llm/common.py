@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tiers.sources.workdir import new_folder
@@ -27,6 +27,19 @@ def keep(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def own(df: DataFrame) -> list[Column]:
+    """The frame's columns, whatever they are called."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
+
+
+def free(df: DataFrame, name: str) -> str:
+    """A name that no column of the frame has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 # Words
 
 

@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tiers.llm.common import grams, keep, local_alignment, mix, raw, slices, space_table, word_hashes, words
+from tiers.llm.common import free, grams, keep, local_alignment, mix, raw, slices, space_table, word_hashes, words
 
 #: Words of a seed; share of an item's best score from which a passage is a copy.
 SIZE, THRESHOLD = 3, 0.5
@@ -190,5 +190,5 @@ def leaks(docs: DataFrame, benchmark: DataFrame, size: int = SIZE, threshold: fl
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that hold no benchmark item; rows that share an id, or have none, are judged each by its own text."""
     key = F.concat_ws(":", F.hex(F.xxhash64("text")), F.col("doc_id").cast("string"))
-    bad = leaks(docs.select(key.alias("doc_id"), "text"), benchmark).select(F.col("doc_id").alias("bad")).distinct()
-    return docs.join(bad.hint("shuffle_hash"), key == F.col("bad"), "left_anti")
+    bad = leaks(docs.select(key.alias("doc_id"), "text"), benchmark).select(F.col("doc_id").alias(free(docs, "bad"))).distinct()
+    return docs.join(bad.hint("shuffle_hash"), key == F.col(bad.columns[0]), "left_anti")

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tiers.llm.common import keep, raw, slices
+from tiers.llm.common import keep, own, raw, slices
 
 #: The fitted sample: documents a language, give or take chance, and characters of each.
 DOCS_PER_LANG, CHARS_PER_DOC = 1000, 10_000
@@ -232,6 +232,6 @@ def held_out() -> Column:
 
 def identified(docs: DataFrame) -> DataFrame:
     """The documents in a learned language; those that are `und` or cost as much as uncoded bytes go."""
-    names = [c for c in docs.columns if c not in ("lang_pred", "score", "bits_per_byte")]
-    found = predict(docs, fit(docs, ~held_out()), tuple(names))
-    return found.where((F.col("lang_pred") != "und") & (F.col("bits_per_byte") < RAW_BITS)).select(names)
+    # Rows pass through as one column each, so that none of theirs can be taken for one of the prediction.
+    found = predict(docs.select(F.struct(*own(docs)).alias("row"), "text"), fit(docs, ~held_out()), ("row",))
+    return found.where((F.col("lang_pred") != "und") & (F.col("bits_per_byte") < RAW_BITS)).select("row.*")

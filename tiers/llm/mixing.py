@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tiers.llm.common import keep
+from tiers.llm.common import free, keep, own
 
 #: Sets of sources that may occur; one row for each reaches the driver and the executors.
 MAX_PATTERNS = 100_000
@@ -172,11 +172,17 @@ def mixed(docs: DataFrame, sources: Column | None = None, seed: int = SEED, text
     Sizes count runs of non-space characters. Sources are those in `sources` (an array; as a rule the one in `source`, NULL
     being a source too); size and target are of the first. Taken words of a source come to its target, rounded; at most one
     document a pattern is cut. A NULL or empty text is never taken; equal rows may differ in `taken` where the edge
-    runs between them. With `texts` all columns are returned, else doc_id only.
+    runs between them. With `texts` all columns are returned, but for those called like one of the four
+    results, else doc_id only.
     """
     narrow = keep(sized(docs, sources).select("doc_id", "size", "pattern"), "mix")
     table = plan(narrow, seed)
     if not texts:
         return select(narrow, table, seed)
-    clash = {"source_size", "target", "rounds", "rest", "buckets", "edge", "ahead", "order", "bucket", "taken"}
-    return select(sized(docs.drop(*clash), sources), table, seed)
+    # Rows pass through as one column each, so that none of theirs can be taken for one of the plan.
+    whole = sized(docs.withColumn(free(docs, "row"), F.struct(*own(docs))), sources)
+    row = F.col(free(docs, "row")).alias("row")
+    found = select(whole.select("doc_id", "size", "pattern", row), table, seed)
+    results = ["size", "source_size", "target", "taken"]
+    kept = [F.col("row")[c].alias(c) for c in docs.columns if c.lower() not in results]
+    return found.select(*kept, *results)

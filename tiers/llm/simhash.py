@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from tiers.llm.common import components, keep
+from tiers.llm.common import components, free, keep, own
 
 #: Fingerprints at one point that are compared pair by pair; it only chooses between two exact ways.
 CROWD = 64
@@ -107,15 +107,15 @@ def near_duplicates(docs: DataFrame, crowd: int = CROWD) -> DataFrame:
 
 
 def with_fingerprint(docs: DataFrame) -> DataFrame:
-    """The rows with their fingerprint, `fp`."""
-    at = docs.columns.index("text")
+    """The rows as one column, `row`, and their fingerprint, `fp`."""
 
     def run(batches):
         for batch in batches:
-            found = pa.array([fingerprint(t.as_py()) for t in batch.column(at)], pa.int64())
-            yield pa.RecordBatch.from_arrays([*batch.columns, found], [*batch.schema.names, "fp"])
+            found = pa.array([fingerprint(t.as_py()) for t in batch.column(1)], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), found], ["row", "fp"])
 
-    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField("fp", LongType())]))
+    rows = docs.select(F.struct(*own(docs)).alias("row"), "text")
+    return rows.mapInArrow(run, StructType([rows.schema["row"], StructField("fp", LongType())]))
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
@@ -130,10 +130,11 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     again = keep(first.join(again, F.col("doc_id").eqNullSafe(F.col("again")), "left_semi"), "simhash-rows")
     # Texts move once; only rows that share an id, or have none, are told apart by more than the id.
     once = first.where("doc_id is not null").select("doc_id").join(again.select("doc_id"), "doc_id", "left_anti")
-    single = docs.join(once.hint("shuffle_hash"), "doc_id", "left_semi").select(docs.columns)
+    single = docs.join(once.hint("shuffle_hash"), "doc_id", "left_semi").select(own(docs))
     if again.isEmpty():
         return single
-    more = again.select(F.col("doc_id").alias("id"), F.col("fp").alias("of"))
-    several = with_fingerprint(docs.join(more, F.col("doc_id").eqNullSafe(F.col("id")), "left_semi"))
-    several = several.join(more, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("fp") == F.col("of")), "left_semi")
-    return single.unionByName(several.dropDuplicates(["doc_id", "fp"]).select(docs.columns))
+    key = free(docs, "kept_id")
+    more = again.select(F.col("doc_id").alias(key), F.col("fp").alias("of"))
+    several = with_fingerprint(docs.join(more, F.col("doc_id").eqNullSafe(F.col(key)), "left_semi")).withColumn("id", F.col("row.doc_id"))
+    several = several.join(more, F.col("id").eqNullSafe(F.col(key)) & (F.col("fp") == F.col("of")), "left_semi")
+    return single.union(several.dropDuplicates(["id", "fp"]).select("row.*"))
