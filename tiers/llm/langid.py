@@ -6,13 +6,14 @@ d / (t + d), is the escape to the context shorter by a byte, shared out over the
 to 1/256 for every byte. These costs add up to a proper code, so a text's total under a language is the exact length that
 an arithmetic coder with these frozen counts would need. The language with the shortest code is predicted.
 
-The trees of all languages are unfolded once into one table: a row for each known context, a column for each byte, in
-each field the cost under each language. A text is then scored by table look-ups without state.
+The trees of some languages at a time are unfolded once into one table: a row for each known context, a column for each
+byte, in each field the cost under each language. A text is then scored by table look-ups without state. More languages
+make more tables; none gets fewer contexts for it.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -23,14 +24,13 @@ from tiers.llm.common import keep, own, raw, slices
 
 #: The fitted sample: documents a language, give or take chance, and characters of each.
 DOCS_PER_LANG, CHARS_PER_DOC = 1000, 10_000
-#: Languages that can be learned, those with the most documents; bytes of the table of costs.
-MAX_LANGS, TABLE_BYTES = 128, 64 << 20
-#: Bytes with a column of their own; all rarer ones share the last column, as bytes that were never seen.
-MAX_SYMBOLS = 159
+#: Languages that share a table of costs, and its bytes at most; all languages of the sample are learned.
+LANGS_TOGETHER, TABLE_BYTES = 8, 64 << 20
 #: What a text is taken to follow.
 BEFORE = 32
-#: Bits a byte from which on a text is in no learned language: it then costs as much as uncoded bytes.
-RAW_BITS = 8.0
+#: Bits a byte of an uncoded text. A text is in no learned language if it costs that much, or SLACK times what the
+#: costliest text of its language's sample does.
+RAW_BITS, SLACK = 8.0, 1.1
 
 
 @dataclass
@@ -39,6 +39,7 @@ class Model:
     code: np.ndarray  # byte to column
     node: np.ndarray  # three columns of context to row of the table
     cost: np.ndarray  # rows x columns x languages, bits
+    limits: dict[str, float] = field(default_factory=dict)  # the most bits a byte that a text of each language has
 
     def bits(self, texts: pa.Array) -> np.ndarray:
         """Code length of each text under each language."""
@@ -69,14 +70,30 @@ class Model:
         return out
 
 
+@dataclass
+class Models:
+    """Several tables, for more languages than one holds."""
+
+    tables: list[Model]
+    limits: dict[str, float] = field(default_factory=dict)
+
+    @property
+    def langs(self) -> list[str]:
+        return [lang for t in self.tables for lang in t.langs]
+
+    def bits(self, texts: pa.Array) -> np.ndarray:
+        return np.concatenate([t.bits(texts) for t in self.tables], axis=1)
+
+
 def learnable(docs: DataFrame, bucket: Column) -> DataFrame:
     """`lang`, `text` of the sample: rows with both, and `bucket` true; of each language about DOCS_PER_LANG, drawn by hash."""
     rows = docs.where(F.col("lang").isNotNull() & bucket)
-    most = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGS)
+    # As many rows as there are languages.
+    most = rows.groupBy("lang").agg(F.count("*").alias("n"))
     range_ = 1 << 30
     share = F.ceil(F.lit(float(DOCS_PER_LANG * range_)) / F.col("n"))
     drawn = rows.join(F.broadcast(most.select("lang", share.alias("share"))), "lang")
-    drawn = drawn.where(F.pmod(F.xxhash64("doc_id"), F.lit(range_)) < F.col("share")).where(F.col("text").isNotNull())
+    drawn = drawn.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(range_)) < F.col("share")).where(F.col("text").isNotNull())
     return drawn.select("lang", F.expr(f"left(text, {CHARS_PER_DOC})").alias("text"))
 
 
@@ -104,19 +121,27 @@ def count_contexts(sample: DataFrame) -> DataFrame:
     return sample.mapInArrow(run, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
-def fit(docs: DataFrame, bucket: Column | None = None) -> Model | None:
+def fit(docs: DataFrame, bucket: Column | None = None) -> Model | Models | None:
     """Learn from the bounded sample; None if there is nothing to learn from.
 
-    What reaches the driver is bounded by the sample: at most a count for each of its bytes, in fact far fewer.
+    What reaches the driver is bounded by the sample: at most a count for each of its bytes, in fact far fewer. The tables
+    take TABLE_BYTES for each LANGS_TOGETHER languages.
     """
-    sample = learnable(docs, F.lit(True) if bucket is None else bucket)
+    sample = keep(learnable(docs, F.lit(True) if bucket is None else bucket), "langid-sample")
     counts = keep(count_contexts(sample), "langid")
     rows = counts.toArrow()
     langs = sorted(set(rows["lang"].to_pylist()))
     if not langs:
         return None
     lang = np.searchsorted(np.array(langs), np.array(rows["lang"].to_pylist()))
-    return build(langs, lang, rows["gram"].to_numpy(), rows["n"].to_numpy())
+    gram, n, tables = rows["gram"].to_numpy(), rows["n"].to_numpy(), []
+    for first in range(0, len(langs), LANGS_TOGETHER):
+        mine = (lang >= first) & (lang < first + LANGS_TOGETHER)
+        tables.append(build(langs[first : first + LANGS_TOGETHER], lang[mine] - first, gram[mine], n[mine]))
+    models = Models(tables) if len(tables) > 1 else tables[0]
+    costs = predict(sample, models, ("lang",)).where("lang = lang_pred").groupBy("lang").agg(F.max("bits_per_byte").alias("most"))
+    models.limits = {r.lang: r.most for r in costs.collect()}
+    return models
 
 
 def build(langs: list[str], lang: np.ndarray, gram: np.ndarray, n: np.ndarray) -> Model:
@@ -124,7 +149,7 @@ def build(langs: list[str], lang: np.ndarray, gram: np.ndarray, n: np.ndarray) -
     octet = gram & 255
     seen = np.bincount(octet, n, 256)
     seen[BEFORE] += 1
-    own = np.sort(np.argsort(-seen, kind="stable")[: min(MAX_SYMBOLS, int((seen > 0).sum()))])
+    own = np.flatnonzero(seen > 0)[:255]  # UTF-8 does not use all bytes
     wide, many = len(own) + 1, len(langs)
     code = np.full(256, wide - 1, np.int64)
     code[own] = np.arange(len(own))
@@ -191,7 +216,7 @@ def has_letter(texts: pa.Array) -> np.ndarray:
     return out
 
 
-def predict(docs: DataFrame, model: Model | None, columns: tuple[str, ...]) -> DataFrame:
+def predict(docs: DataFrame, model: Model | Models | None, columns: tuple[str, ...]) -> DataFrame:
     """`columns` of every row, and lang_pred, score (0 to 1), bits_per_byte.
 
     The score is the share of the predicted language if all are as likely beforehand; ties go to the first by name. A NULL
@@ -231,7 +256,11 @@ def held_out() -> Column:
 
 
 def identified(docs: DataFrame) -> DataFrame:
-    """The documents in a learned language; those that are `und` or cost as much as uncoded bytes go."""
+    """The documents in a learned language; those that are `und`, or cost more than texts of their language do, go."""
     # Rows pass through as one column each, so that none of theirs can be taken for one of the prediction.
-    found = predict(docs.select(F.struct(*own(docs)).alias("row"), "text"), fit(docs, ~held_out()), ("row",))
-    return found.where((F.col("lang_pred") != "und") & (F.col("bits_per_byte") < RAW_BITS)).select("row.*")
+    models = fit(docs, ~held_out())
+    found = predict(docs.select(F.struct(*own(docs)).alias("row"), "text"), models, ("row",))
+    known = models.limits.items() if models is not None else ()
+    limits = F.create_map(*[F.lit(x) for lang, most in known for x in (lang, most)]) if known else F.create_map(F.lit(""), F.lit(0.0))
+    limit = F.least(F.lit(RAW_BITS), SLACK * F.coalesce(limits[F.col("lang_pred")], F.lit(RAW_BITS)))
+    return found.where((F.col("lang_pred") != "und") & (F.col("bits_per_byte") < limit)).select("row.*")
