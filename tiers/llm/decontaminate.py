@@ -1,13 +1,17 @@
-"""Benchmark decontamination: n-gram seeds lead to candidate passages, Smith-Waterman alignment judges them.
-
-1. The benchmark's word n-grams are entered in a bitmap of fixed size. Each document is read once, against that bitmap;
-   what leaves the read are passages, stretches around two or more seeds with as many words on either side as the longest
-   item has. Texts are never shuffled.
-2. Seeds of passages are joined to the benchmark's exactly. A seed counts for an item if it is rare: in few items, and
-   in not many more documents than the item's other seeds. The measure is the item's own median, so that an item copied
-   into very many documents keeps its seeds.
-3. Passage and item with enough seeds in common are aligned word by word. The score is the part of the item's best
+"""Benchmark decontamination: rare n-gram seeds lead to candidate passages, Smith-Waterman alignment judges them.
+
+1. Seeds are pairs of words, neighbours or with one word between, whichever of the two they are: a pair survives where no
+   word of it is edited, and also where a word is put in or taken out between. An alignment that reaches half of an item's
+   best score has fewer than one edit for each match, so in every other step from match to match at least a pair survives.
+2. The documents are read against a bitmap of all seeds, and how many of them hold each seed is counted exactly. Of the
+   seeds that occur an item uses the rarest (documents times items that have it): half, and SEEDS at least, so that it has
+   some however often it was copied.
+3. The documents are read again, against the seeds in use. What leaves the read are passages, stretches around seeds with
+   as many words on either side as the longest item has. Texts are never shuffled.
+4. Passage and item with enough seeds in common are aligned word by word. The score is the part of the item's best
    possible score that the alignment reaches; edits, insertions and deletions lower it, but do not hide a copy.
+
+An item of one or two words is found where it is a document's whole text.
 """
 
 from __future__ import annotations
@@ -17,13 +21,16 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tiers.llm.common import free, grams, keep, local_alignment, mix, raw, slices, space_table, word_hashes, words
 
-#: Words of a seed; share of an item's best score from which a passage is a copy.
-SIZE, THRESHOLD = 3, 0.5
-#: A seed in more items than this, or in this many times the documents of the item's median seed, is not rare.
-MOST_ITEMS, MOST_TIMES = 50, 20
+#: Share of an item's best score from which a passage is a copy.
+THRESHOLD = 0.5
+#: Seeds that an item uses at least, if it has as many that occur.
+SEEDS = 16
+#: Seeds that passage and item have to share: two, or more where half an item is only a few words.
+ENOUGH, SHORT, ENOUGH_IF_SHORT = 2, 12, 5
 #: log2 of the bits of the bitmap (2 MiB).
 BITMAP_BITS = 24
 MATCH, MISMATCH, GAP = 2, 1, 1
@@ -31,8 +38,23 @@ MATCH, MISMATCH, GAP = 2, 1, 1
 CELLS = 1 << 19
 
 
-def item_seeds(benchmark: DataFrame, size: int) -> DataFrame:
-    """A row per item text: item_id, n_words, words (hashes as bytes), seeds. An item below `size` words has no seed."""
+def pairs_of(hashed: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Seed and first word of every pair; in a row of one or two words a seed of the whole row instead."""
+    near, same = grams(hashed, row, 2)
+    wide = mix(hashed[:-2] * np.uint64(0xD6E8FEB86659FD93) + hashed[2:]) if len(hashed) > 2 else near[:0]
+    apart = row[:-2] == row[2:] if len(hashed) > 2 else same[:0]
+    size = np.bincount(row, minlength=int(row.max(initial=-1)) + 1)
+    long = size[row] > 2
+    first = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]]) & ~long) if len(row) else np.zeros(0, np.int64)
+    last = first + size[row[first]] - 1
+    whole = mix(hashed[first] + mix(hashed[last] ^ size[row[first]].astype(np.uint64)))
+    same &= long[: len(same)]
+    at = np.concatenate([np.flatnonzero(same), np.flatnonzero(apart), first])
+    return np.concatenate([near[same], wide[apart], whole]), at
+
+
+def item_seeds(benchmark: DataFrame) -> DataFrame:
+    """A row per item text: item, item_id, n_words, item_words (hashes as bytes), seeds."""
 
     def run(batches):
         for batch in batches:
@@ -41,13 +63,13 @@ def item_seeds(benchmark: DataFrame, size: int) -> DataFrame:
             hashed = word_hashes(data, begin, end)
             cut = np.searchsorted(row, np.arange(len(at)))
             each = [hashed[i:j] for i, j in zip(cut[:-1], cut[1:], strict=True)]
-            seeds = [grams(x, np.zeros(len(x), np.int64), size)[0] for x in each]
+            seeds = [np.unique(pairs_of(x, np.zeros(len(x), np.int64))[0]) for x in each]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
                     pa.array([len(x) for x in each], pa.int32()),
                     pa.array([x.tobytes() for x in each], pa.binary()),
-                    pa.array([np.unique(x).view(np.int64) for x in seeds], pa.list_(pa.int64())),
+                    pa.array([x.view(np.int64) for x in seeds], pa.list_(pa.int64())),
                 ],
                 ["item_id", "n_words", "item_words", "seeds"],
             )
@@ -58,11 +80,10 @@ def item_seeds(benchmark: DataFrame, size: int) -> DataFrame:
     return found.withColumn("item", F.xxhash64("item_id", "item_words"))
 
 
-def bitmap(items: DataFrame) -> np.ndarray:
-    """Bits of all seeds; at most 2^BITMAP_BITS / 64 rows reach the driver, whatever the benchmark's size."""
-    spot = F.explode("seeds").alias("seed")
+def bitmap(seeds: DataFrame) -> np.ndarray:
+    """Two bits of each `seed`; at most 2^BITMAP_BITS / 64 rows reach the driver, whatever the benchmark's size."""
     both = F.explode(F.array(*[F.expr(f"shiftrightunsigned(seed, {s}) & {(1 << BITMAP_BITS) - 1}") for s in (0, 32)]))
-    bits = items.select(spot).select(both.alias("bit"))
+    bits = seeds.select(both.alias("bit"))
     rows = bits.groupBy(F.expr("bit div 64").alias("at")).agg(F.bit_or(F.expr("shiftleft(1L, cast(bit % 64 as int))")).alias("set"))
     out = np.zeros((1 << BITMAP_BITS) // 64, np.int64)
     found = rows.toArrow()
@@ -70,35 +91,58 @@ def bitmap(items: DataFrame) -> np.ndarray:
     return np.unpackbits(out.astype("<i8").view(np.uint8), bitorder="little").view(bool)
 
 
-def passages(docs: DataFrame, marks, size: int, reach: int, least: int) -> DataFrame:
-    """doc_id, passage (its number), begin (first word in the document), words (hashes as bytes), seeds."""
+def hits(texts: pa.Array, bits: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Word hashes and row of each word, and the places and seeds of pairs whose bits are set, in order of places."""
+    data, at = raw(texts)
+    begin, end, row = words(data, at, space_table(True))
+    hashed = word_hashes(data, begin, end)
+    seed, place = pairs_of(hashed, row)
     low = np.uint64((1 << BITMAP_BITS) - 1)
+    some = np.flatnonzero(bits[(seed & low).astype(np.int64)])
+    some = some[bits[(seed[some] >> np.uint64(32) & low).astype(np.int64)]]
+    some = some[np.argsort(place[some], kind="stable")]
+    return hashed, row, place[some], seed[some]
+
+
+def seed_counts(docs: DataFrame, marks) -> DataFrame:
+    """seed, docs: how many rows hold each seed whose bits are set."""
+
+    def run(batches):
+        for batch in batches:
+            for i, j in slices(batch.column(0)):
+                _, row, hit, seed = hits(batch.column(0).slice(i, j - i), marks.value)
+                order = np.lexsort((row[hit], seed))
+                seed, of = seed[order], row[hit][order]
+                once = np.concatenate([[True], (seed[1:] != seed[:-1]) | (of[1:] != of[:-1])]) if len(seed) else np.zeros(0, bool)
+                found, n = np.unique(seed[once], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n)], ["seed", "n"])
+
+    counts = docs.select("text").mapInArrow(run, "seed long, n long")
+    return counts.groupBy("seed").agg(F.sum("n").alias("docs"))
+
+
+def passages(docs: DataFrame, marks, reach: int) -> DataFrame:
+    """doc_id, passage (its number), begin (first word in the document), words (hashes as bytes), seeds."""
 
     def run(batches):
-        space = space_table(True)
         for batch in batches:
             for i, j in slices(batch.column(1)):
-                data, at = raw(batch.column(1).slice(i, j - i))
-                begin, end, row = words(data, at, space)
-                hashed = word_hashes(data, begin, end)
-                seed, whole = grams(hashed, row, size)
-                bits = marks.value
-                hit = np.flatnonzero(whole & bits[(seed & low).astype(np.int64)])
-                hit = hit[bits[(seed[hit] >> np.uint64(32) & low).astype(np.int64)]]
+                hashed, row, hit, seed = hits(batch.column(1).slice(i, j - i), marks.value)
                 if not len(hit):
                     continue
                 # A new passage begins where no item could reach from the hit before.
                 apart = np.flatnonzero((np.diff(hit) > reach) | (np.diff(row[hit]) > 0)) + 1
                 out = []
-                for part in np.split(hit, apart):
-                    if len(np.unique(seed[part])) < least:
-                        continue
+                for part, seeds in zip(np.split(hit, apart), np.split(seed, apart), strict=True):
                     r = row[part[0]]
                     first, last = np.searchsorted(row, [r, r + 1])
-                    a, b = max(first, part[0] - reach), min(last, part[-1] + size + reach)
+                    seeds = np.unique(seeds)
+                    if len(seeds) < ENOUGH and last - first > 2:
+                        continue
+                    a, b = max(first, part[0] - reach), min(last, part[-1] + 3 + reach)
                     text = hashed[a:b].tobytes()
                     name = mix(np.array([np.bitwise_xor.reduce(mix(hashed[a:b] + np.arange(b - a, dtype=np.uint64)))]) + np.uint64(a - first))
-                    out.append((i + int(r), int(name.view(np.int64)[0]), int(a - first), text, np.unique(seed[part]).view(np.int64)))
+                    out.append((i + int(r), int(name.view(np.int64)[0]), int(a - first), text, seeds.view(np.int64)))
                 if out:
                     at_row, name, begins, text, seeds = zip(*out, strict=True)
                     yield pa.RecordBatch.from_arrays(
@@ -151,34 +195,35 @@ def align(pairs: DataFrame) -> DataFrame:
     return pairs.select("doc_id", "item_id", "shared", "begin", "words", "item_words").mapInArrow(run, schema)
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, size: int = SIZE, threshold: float = THRESHOLD) -> DataFrame:
+def used_seeds(items: DataFrame, counts: DataFrame) -> DataFrame:
+    """item, seed: the rarer half of the seeds of each item that occur, SEEDS at least."""
+    seeds = items.select("item", F.explode("seeds").alias("seed")).distinct()
+    in_items = seeds.groupBy("seed").agg(F.count("*").alias("items"))
+    spread = seeds.join(in_items, "seed").join(counts, "seed")
+    place = F.row_number().over(Window.partitionBy("item").orderBy(F.col("docs") * F.col("items"), "seed"))
+    all_ = F.count("*").over(Window.partitionBy("item"))
+    ranked = spread.select("item", "seed", place.alias("place"), all_.alias("all"))
+    return ranked.where(F.col("place") <= F.greatest(F.lit(SEEDS), F.ceil(F.col("all") / 2))).select("item", "seed")
+
+
+def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """A row per document and benchmark item found in it: doc_id, item_id, score (0 to 1), seeds, last_word.
 
-    NULL and empty texts match nothing, nor do items with fewer words than a seed. Rows that share a doc_id (NULL
-    included) count as one document; the best passage gives the score, and among equal ones the earliest the last word.
+    NULL and empty texts match nothing. Rows that share a doc_id (NULL included) count as one document; the best passage
+    gives the score, and among equal ones the earliest the last word.
     """
-    items = keep(item_seeds(benchmark, size), "leak-items")
-    longest = items.agg(F.max("n_words"), F.min(F.expr("if(size(seeds) > 0, size(seeds), null)"))).first()
-    reach, least = longest[0] or 0, min(2, longest[1] or 2)
-    marks = docs.sparkSession.sparkContext.broadcast(bitmap(items))
-    found = keep(passages(docs, marks, size, reach, least), "leak-passages")
-    seeds = items.select("item", F.explode("seeds").alias("seed"))
-    in_items = seeds.groupBy("seed").agg(F.count("*").alias("items"))
-    hits = found.select("doc_id", "passage", F.explode("seeds").alias("seed"))
-    in_docs = hits.groupBy("seed").agg(F.approx_count_distinct("doc_id").alias("docs"))
-    spread = seeds.join(in_items, "seed").join(in_docs, "seed")
-    median = spread.groupBy("item").agg(F.percentile_approx("docs", 0.5).alias("usual"), F.min("items").alias("fewest"))
-    judged = spread.join(median, "item").withColumn(
-        "rare", (F.col("items") <= F.greatest(F.lit(MOST_ITEMS), "fewest")) & (F.col("docs") <= MOST_TIMES * F.col("usual"))
-    )
-    # An item without a rare seed in the documents is looked for by all it has.
-    some = judged.groupBy("item").agg(F.max("rare").alias("some"), F.count_if(~F.col("rare")).alias("others"))
-    used = judged.join(some, "item").where(F.col("rare") | ~F.col("some"))
-    rare = keep(used.select("item", "seed", F.expr("if(some, others, 0)").alias("others")), "leak-seeds")
-    met = hits.join(rare, "seed").groupBy("passage", "item").agg(F.countDistinct("seed").alias("shared"), F.first("others").alias("others"))
-    about = items.withColumn("n_seeds", F.size("seeds")).select("item", "item_id", "item_words", "n_seeds").dropDuplicates(["item"])
-    # Two seeds are wanted, or the one that remains of an item whose others are not rare.
-    pairs = met.join(about, "item").where(F.col("shared") >= F.least(F.lit(2), F.col("n_seeds") - F.col("others")))
+    items = keep(item_seeds(benchmark), "leak-items")
+    reach = items.agg(F.max("n_words")).first()[0] or 0
+    context = docs.sparkSession.sparkContext
+    every = context.broadcast(bitmap(items.select(F.explode("seeds").alias("seed"))))
+    used = keep(used_seeds(items, seed_counts(docs, every)), "leak-seeds")
+    marks = context.broadcast(bitmap(used.select("seed")))
+    found = keep(passages(docs, marks, reach), "leak-passages")
+    hit = found.select("doc_id", "passage", F.explode("seeds").alias("seed"))
+    met = hit.join(used, "seed").groupBy("passage", "item").agg(F.countDistinct("seed").alias("shared"))
+    wanted = F.when(F.col("n_words") < SHORT, ENOUGH_IF_SHORT).otherwise(ENOUGH)
+    about = items.withColumn("enough", F.least(F.size("seeds"), wanted)).select("item", "item_id", "item_words", "enough")
+    pairs = met.join(about.dropDuplicates(["item"]), "item").where("shared >= enough")
     texts = found.groupBy("doc_id", "passage").agg(F.first("begin").alias("begin"), F.first("words").alias("words"))
     scored = align(pairs.join(texts, "passage")).where(F.col("score") >= threshold)
     best = F.max(F.struct("score", (-F.col("last_word")).alias("early"), "shared")).alias("best")
