@@ -127,7 +127,8 @@ def fit(docs: DataFrame, bucket: Column | None = None) -> Model | Models | None:
     What reaches the driver is bounded by the sample: at most a count for each of its bytes, in fact far fewer. The tables
     take TABLE_BYTES for each LANGS_TOGETHER languages.
     """
-    sample = keep(learnable(docs, F.lit(True) if bucket is None else bucket), "langid-sample")
+    # Drawn again for the limits: by hash, so the same, and cheaper on memory than writing texts.
+    sample = learnable(docs, F.lit(True) if bucket is None else bucket)
     counts = keep(count_contexts(sample), "langid")
     rows = counts.toArrow()
     langs = sorted(set(rows["lang"].to_pylist()))
