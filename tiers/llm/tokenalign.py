@@ -34,7 +34,7 @@ A_FILE, B_FILE = "/opt/tokenizers/byte_bpe_50k.json", "/opt/tokenizers/piece_bpe
 BLOCK_BYTES = 4 << 20
 MEMO_WORDS, MEMO_CHARS = 300_000, 8 << 20
 #: Characters encoded in one call.
-CALL_CHARS = 1 << 18
+CALL_CHARS = 1 << 16
 #: Links of a group that are listed one by one; larger groups are counted by id.
 LISTED = 64
 
