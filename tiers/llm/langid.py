@@ -30,7 +30,7 @@ LANGS_TOGETHER, TABLE_BYTES = 8, 64 << 20
 BEFORE = 32
 #: Bits a byte of an uncoded text. A text is in no learned language if it costs that much, or SLACK times what the
 #: costliest text of its language's sample does.
-RAW_BITS, SLACK = 8.0, 1.1
+RAW_BITS, SLACK = 8.0, 2.0
 
 
 @dataclass
