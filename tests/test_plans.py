@@ -7,7 +7,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from tiers.functions.names import raw_feed
-from tiers.plans.adhoc import adhoc_output, explore_outer, load_feeds, profile_feeds, purchase_view
+from tiers.plans.adhoc import (
+    adhoc_output,
+    explore_outer,
+    explore_outer_counts,
+    load_feeds,
+    profile_feeds,
+    purchase_view,
+)
 from tiers.plans.gold import gold_output, gold_output_outer_form
 from tiers.plans.refresh import run
 from tiers.plans.silver import last_load, loaded_from, silver_refresh
@@ -108,6 +115,21 @@ def test_views_do_not_depend_on_splitting_hot_keys(spark):
     assert rows(explore_outer(**core)) == rows(explore_outer(**core, **forced))
 
 
+
+@pytest.mark.parametrize("forced", [{}, {"rows_per_shard": 4}])
+def test_outer_counts_equal_counted_rows_of_the_outer_view(spark, forced):
+    feeds = text_feeds(spark, seed=4)
+    core = {name: df.drop("raw_file_name", "load_timestamp") for name, df in feeds.items()}
+    # One key held many times on every side: its rows multiply.
+    hot = {name: df.where(F.pmod(F.xxhash64(*df.columns), F.lit(5)) == 0).withColumn("purchaseid", F.lit("7")) for name, df in core.items()}
+    core = {name: df.union(hot[name]) if name != "consumer" else df for name, df in core.items()}
+    by = ["purchaseid", "sex", "type", "plu"]
+    wanted = explore_outer(**core).groupBy(*by).agg(F.count(F.lit(1)).alias("row_count"))
+    got = explore_outer_counts(**core, consumer_by=["sex"], avocado_by=["plu"], fertilizer_by=["type"], **forced)
+    assert rows(got.select(*by, "row_count")) == rows(wanted)
+    assert max(r.row_count for r in got.collect()) >= 10 * 10
+
+
 def test_gold_plan_moves_each_input_once(spark, tmp_path):
     frames = {}
     for name, df in silver_frames(spark, 1).items():
