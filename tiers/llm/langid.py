@@ -100,35 +100,45 @@ def learnable(docs: DataFrame, bucket: Column) -> DataFrame:
 def count_contexts(sample: DataFrame) -> DataFrame:
     """lang, four bytes as a number, and how often they follow one another (`n`); `docs` counts for the language."""
 
+    def grams(lang, texts):
+        data, at = raw(texts)
+        begins = at[:-1] + 3 * np.arange(len(texts))
+        padded = np.full(len(data) + 3 * len(texts), BEFORE, np.int64)
+        inside = np.ones(len(padded), bool)
+        for k in range(3):
+            inside[begins + k] = False
+        padded[inside] = data
+        key = padded[:-3] << 24 | padded[1:-2] << 16 | padded[2:-1] << 8 | padded[3:] if len(padded) > 3 else padded[:0]
+        found, n = np.unique(key[inside[3:]], return_counts=True)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([lang] * len(found), pa.string()), pa.array(found), pa.array(n)], ["lang", "gram", "n"]
+        )
+
     def run(batches):
         for batch in batches:
             langs = np.array(batch.column(0).to_pylist(), object)
             for lang in sorted(set(langs)):
-                texts = batch.column(1).filter(pa.array(langs == lang))
-                data, at = raw(texts)
-                begins = at[:-1] + 3 * np.arange(len(texts))
-                padded = np.full(len(data) + 3 * len(texts), BEFORE, np.int64)
-                inside = np.ones(len(padded), bool)
-                for k in range(3):
-                    inside[begins + k] = False
-                padded[inside] = data
-                key = padded[:-3] << 24 | padded[1:-2] << 16 | padded[2:-1] << 8 | padded[3:] if len(padded) > 3 else padded[:0]
-                found, n = np.unique(key[inside[3:]], return_counts=True)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(found), pa.string()), pa.array(found), pa.array(n)], ["lang", "gram", "n"]
-                )
+                every = batch.column(1).filter(pa.array(langs == lang))
+                # Whole texts: a slice of about SLICE_BYTES at a time keeps the arrays below bounded.
+                for i, j in slices(every):
+                    yield from grams(lang, every.slice(i, j - i))
 
     return sample.mapInArrow(run, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
+def learned(docs: DataFrame, bucket: Column) -> DataFrame:
+    """`lang`, `text` of every row to learn from: both not null, and `bucket` true; the whole text."""
+    return docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & bucket).select("lang", "text")
+
+
 def fit(docs: DataFrame, bucket: Column | None = None) -> Model | Models | None:
-    """Learn from the bounded sample; None if there is nothing to learn from.
+    """Learn from every row in `bucket` with a lang and a text; None if there is nothing to learn from.
 
-    What reaches the driver is bounded by the sample: at most a count for each of its bytes, in fact far fewer. The tables
-    take TABLE_BYTES for each LANGS_TOGETHER languages.
+    What reaches the driver is a count for each distinct four bytes of each language, summed on Spark. The tables take
+    TABLE_BYTES for each LANGS_TOGETHER languages.
     """
-    # Drawn again for the limits: by hash, so the same, and cheaper on memory than writing texts.
-    sample = learnable(docs, F.lit(True) if bucket is None else bucket)
+    # Read again for the limits, so that the costliest text of each language is taken over all its texts.
+    sample = learned(docs, F.lit(True) if bucket is None else bucket)
     counts = keep(count_contexts(sample), "langid")
     rows = counts.toArrow()
     langs = sorted(set(rows["lang"].to_pylist()))
