@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from tiers.llm.common import components, free, keep, own
+from tiers.llm.common import components, free, keep, own, shuffled
 
 #: Fingerprints at one point that are compared pair by pair; it only chooses between two exact ways.
 CROWD = 64
@@ -70,7 +70,7 @@ def links(fps: DataFrame, crowd: int = CROWD) -> DataFrame:
     """Pairs `a`, `b` of distinct fingerprints (column `fp`) that connect all that differ in at most two bits."""
     entered = fps.select("fp", F.explode(grid_keys("fp")).alias("point"))
     sizes = entered.groupBy("point").agg(F.count("*").alias("n")).where("n > 1")
-    met = entered.join(sizes, "point")
+    met = entered.join(shuffled(sizes), "point")
     few = met.where(F.col("n") <= crowd).groupBy("point").agg(F.array_sort(F.collect_list("fp")).alias("all"))
     pair = F.expr(
         "flatten(transform(all, x -> transform(filter(all, y -> x < y and bit_count(x ^ y) <= 2),"
@@ -89,12 +89,12 @@ def grouped(docs: DataFrame, crowd: int = CROWD) -> DataFrame:
     fps = keep(fingerprints(docs), "simhash")
     classes = fps.groupBy("fp").agg(F.min("doc_id").alias("first"))
     roots = components(links(classes.select("fp"), crowd), "simhash-links")
-    named = classes.join(roots, classes["fp"] == roots["node"], "left").select(
+    named = classes.join(shuffled(roots), classes["fp"] == roots["node"], "left").select(
         "fp", "first", F.coalesce("root", "fp").alias("root")
     )
     names = named.groupBy("root").agg(F.min("first").alias("component_id"))
-    table = named.join(names, "root").select("fp", "root", "component_id")
-    return fps.join(table, "fp").select("doc_id", "fp", "root", "component_id")
+    table = named.join(shuffled(names), "root").select("fp", "root", "component_id")
+    return fps.join(shuffled(table), "fp").select("doc_id", "fp", "root", "component_id")
 
 
 def near_duplicates(docs: DataFrame, crowd: int = CROWD) -> DataFrame:
@@ -127,14 +127,14 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "fp")).alias("least")
     first = keep(found.groupBy("root").agg(least).select("least.doc_id", "least.fp"), "simhash-first")
     again = found.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 or doc_id is null").select(F.col("doc_id").alias("again"))
-    again = keep(first.join(again, F.col("doc_id").eqNullSafe(F.col("again")), "left_semi"), "simhash-rows")
+    again = keep(first.join(shuffled(again), F.col("doc_id").eqNullSafe(F.col("again")), "left_semi"), "simhash-rows")
     # Texts move once; only rows that share an id, or have none, are told apart by more than the id.
-    once = first.where("doc_id is not null").select("doc_id").join(again.select("doc_id"), "doc_id", "left_anti")
+    once = first.where("doc_id is not null").select("doc_id").join(shuffled(again.select("doc_id")), "doc_id", "left_anti")
     single = docs.join(once.hint("shuffle_hash"), "doc_id", "left_semi").select(own(docs))
     if again.isEmpty():
         return single
     key = free(docs, "kept_id")
     more = again.select(F.col("doc_id").alias(key), F.col("fp").alias("of"))
-    several = with_fingerprint(docs.join(more, F.col("doc_id").eqNullSafe(F.col(key)), "left_semi")).withColumn("id", F.col("row.doc_id"))
-    several = several.join(more, F.col("id").eqNullSafe(F.col(key)) & (F.col("fp") == F.col("of")), "left_semi")
+    several = with_fingerprint(docs.join(shuffled(more), F.col("doc_id").eqNullSafe(F.col(key)), "left_semi")).withColumn("id", F.col("row.doc_id"))
+    several = several.join(shuffled(more), F.col("id").eqNullSafe(F.col(key)) & (F.col("fp") == F.col("of")), "left_semi")
     return single.union(several.dropDuplicates(["id", "fp"]).select("row.*"))
