@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tiers.llm.common import free, grams, keep, local_alignment, mix, raw, slices, space_table, word_hashes, words
+from tiers.llm.common import free, grams, keep, local_alignment, mix, raw, slices, shuffled, space_table, word_hashes, words
 
 #: Share of an item's best score from which a passage is a copy.
 THRESHOLD = 0.5
@@ -220,7 +220,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -
     marks = context.broadcast(bitmap(used.select("seed")))
     found = keep(passages(docs, marks, reach), "leak-passages")
     hit = found.select("doc_id", "passage", F.explode("seeds").alias("seed"))
-    met = hit.join(used, "seed").groupBy("passage", "item").agg(F.countDistinct("seed").alias("shared"))
+    met = hit.join(shuffled(used), "seed").groupBy("passage", "item").agg(F.countDistinct("seed").alias("shared"))
     wanted = F.when(F.col("n_words") < SHORT, ENOUGH_IF_SHORT).otherwise(ENOUGH)
     about = items.withColumn("enough", F.least(F.size("seeds"), wanted)).select("item", "item_id", "item_words", "enough")
     pairs = met.join(about.dropDuplicates(["item"]), "item").where("shared >= enough")
